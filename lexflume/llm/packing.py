@@ -6,14 +6,15 @@ import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bins that may be open at once in a task, and words whose ids a worker remembers (its memo is emptied when full).
+#: Bins that may be open at once in a task, and words in a generation of a worker's memo.
 OPEN_BINS = 512
-MEMO_WORDS = 300_000
+MEMO_WORDS = 500_000
 
 
 class OpenBins:
@@ -58,7 +59,15 @@ class OpenBins:
 
 
 class WordIds:
-    """Little-endian 32-bit ids of whole texts, from the ids of their runs without ASCII white space."""
+    """Little-endian 32-bit ids of whole texts, from the ids of their runs without ASCII white space.
+
+    No rule of the tokenizer crosses such white space, so words are encoded once and
+    remembered: in two generations, the older of which is dropped when the newer has
+    MEMO_WORDS words. New words are encoded many at a time, between marks: MARK is a
+    word that no other contains, words with its character are encoded alone.
+    """
+
+    MARK = b"\x01"
 
     def __init__(self, vocabulary: str):
         from tokenizers import Tokenizer
@@ -66,23 +75,57 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.memo: dict[bytes, bytes] = {}
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        (self.mark,) = self.ids(self.MARK).tolist()
+
+    def ids(self, text: bytes) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
 
-    def encode(self, text: bytes) -> bytes:
-        words, memo = text.split(), self.memo
-        new = [w for w in dict.fromkeys(words) if w not in memo]
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         found: dict[bytes, bytes] = {}
-        for start in range(0, len(new), 4096):
-            part = new[start : start + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in part], add_special_tokens=False), strict=True):
-                found[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
-        if new:
-            out = b"".join([found[w] if w in found else memo[w] for w in words])
-            if len(memo) + len(found) > MEMO_WORDS:
-                memo.clear()
-            memo.update((w, ids) for w, ids in found.items() if len(w) <= 64)
-            return out
-        return b"".join([memo[w] for w in words])
+        plain = []
+        for w in words:
+            if self.MARK in w:
+                found[w] = self.ids(w).tobytes()
+            else:
+                plain.append(w)
+        joint = b" " + self.MARK + b" "
+        for at in range(0, len(plain), 512):
+            part = plain[at : at + 512]
+            got = self.ids(joint.join(part))
+            raw, ends = got.tobytes(), (4 * np.flatnonzero(got == self.mark)).tolist()
+            for w, start, end in zip(part, [0, *(e + 4 for e in ends)], [*ends, len(raw)], strict=True):
+                found[w] = raw[start:end]
+        return found
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        words = [t.split() for t in texts]
+        memo = self.new
+        wanted = list(set().union(*words).difference(memo))
+        known = {w: self.old[w] for w in wanted if w in self.old}
+        memo |= known
+        memo |= self.learn([w for w in wanted if w not in known])
+        out = [b"".join(map(memo.__getitem__, ws)) for ws in words]
+        for w in wanted:
+            if len(w) > 64:
+                del memo[w]
+        if len(memo) > MEMO_WORDS:
+            self.old, self.new = memo, {}
+        return out
+
+
+def batches_of(texts: Iterator[bytes], rows: int = 256, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """The texts in runs of at most `rows`, each ended as it reaches `size` bytes."""
+    held, total = [], 0
+    for t in texts:
+        held.append(t)
+        total += len(t)
+        if len(held) == rows or total >= size:
+            yield held
+            held, total = [], 0
+    if held:
+        yield held
 
 
 _IDS: dict[int, WordIds] = {}
@@ -118,13 +161,13 @@ def pack(docs: DataFrame, vocabulary: str, *, size: int = 4096, end_id: int = 1,
         bins, base = OpenBins(size, open_bins), TaskContext.get().partitionId() << 40
         for batch in batches:
             row, rows = [], []
-            for i, x in enumerate(batch.column(text).cast(pa.binary())):
-                got = words.encode(x.as_py() or b"") + end
+            texts = (x.as_py() or b"" for x in batch.column(text).cast(pa.binary()))
+            for i, got in enumerate(x + end for part in batches_of(texts) for x in words.encode(part)):
                 for k, at in enumerate(range(0, len(got), 4 * size)):
-                    part = got[at : at + 4 * size]
-                    number, offset = bins.place(len(part) // 4)
+                    cut = got[at : at + 4 * size]
+                    number, offset = bins.place(len(cut) // 4)
                     row.append(i)
-                    rows.append((k, at // 4, len(part) // 4, zlib.crc32(part), base + number, offset, *([part] if ids else [])))
+                    rows.append((k, at // 4, len(cut) // 4, zlib.crc32(cut), base + number, offset, *([cut] if ids else [])))
             kept = batch.select(keep).take(pa.array(row, pa.int64()))
             cols = list(zip(*rows, strict=True)) or [[]] * len(extra)
             kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary()]
