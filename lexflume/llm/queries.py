@@ -32,6 +32,12 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(documents(spark, sf_dir))
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexflume.llm.jaccard_join import similar_documents
+
+    return similar_documents(documents(spark, sf_dir))
+
+
 def op4_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexflume.llm.span_dedup import span_dedup
 
@@ -71,6 +77,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_counts": op1_token_counts,
     "op2_license_scan": op2_license_scan,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_span_dedup": op4_span_dedup,
     "op5_quality_classifier": op5_quality_classifier,
     "op6_best_fit_packing": op6_best_fit_packing,
