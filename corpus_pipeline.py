@@ -1,17 +1,70 @@
-"""The corpus pipeline: quality classifier, exact dedup, near-duplicate join, mixing, packing."""
+"""The corpus pipeline: quality classifier, exact dedup, near-duplicate join, mixing, packing.
+
+Each stage takes the documents that its predecessor kept and returns documents, but
+for the last, which returns the packed pieces. A caller may write each stage's
+result and read it again; run() does so in the session's shared checkpoint folder.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lexflume.llm._common import frozen
+from lexflume.llm.exact_dedup import drop_exact_copies
+from lexflume.llm.jaccard_join import drop_similar
+from lexflume.llm.mixing import mix
+from lexflume.llm.packing import pack
+from lexflume.llm.quality_classifier import quality_classifier
+from lexflume.llm.queries import vocabulary
+from lexflume.session import ship
+
+
+def reject_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Fits the classifier on docs and keeps what it doesn't reject."""
+    ship(spark)
+    return quality_classifier(docs).where("kept").select(docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that are equal without white space."""
+    return drop_exact_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group linked by shingle sets of similarity 0.75 and more."""
+    ship(spark)
+    return drop_similar(docs).select(docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as its source's rate draws, in random order."""
+    return mix(docs).select(docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 4096 tokens in sequences; one document may come several times."""
+    ship(spark)
+    numbered = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "source")
+    return pack(numbered, vocabulary())
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality classifier", reject_low_quality),
+    ("exact dedup", drop_copies),
+    ("n-gram jaccard join", drop_near_copies),
+    ("mixing sources", mix_sources),
+    ("best-fit packing", pack_sequences),
+]
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+#: SQL can express neither the fitted classifier nor the packing; tests compare with brute force.
 ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = frozen(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

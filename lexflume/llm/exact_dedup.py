@@ -60,10 +60,16 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
 
 
 def drop_exact_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with one row of each group of equal texts, all columns as they came."""
-    numbered = docs.withColumn("_row_no", F.monotonically_increasing_id())
-    kept = exact_dedup(docs, text=text, key=key).where("kept").select(F.col("_row").alias("_row_no"))
-    return numbered.join(kept, "_row_no", "left_semi").drop("_row_no")
+    """docs with one row of each group of equal texts, all columns as they came.
+
+    Rows that stay are found again by key and digest; rows equal in both are copies
+    of each other and one of them stays.
+    """
+    digest = F.sha2(F.regexp_replace(text_or_empty(text), f"{WS}+", "").cast("binary"), 256)
+    kept = exact_dedup(docs.select(key, text), text=text, key=key).where("kept").select(F.col(key).alias("_kept_key"), F.col("text_sha256").alias("_kept_sha"))
+    tagged = docs.withColumn("_sha", digest)
+    met = tagged.join(kept, (F.col("_sha") == F.col("_kept_sha")) & F.col(key).eqNullSafe(F.col("_kept_key")), "left_semi")
+    return met.dropDuplicates([key, "_sha"]).drop("_sha")
 
 
 def exact_digest(docs: DataFrame) -> DataFrame:
