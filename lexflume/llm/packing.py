@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 #: Bins that may be open at once in a task, and words in a generation of a worker's memo.
 OPEN_BINS = 512
-MEMO_WORDS = 500_000
+MEMO_WORDS = 900_000
 
 
 class OpenBins:
@@ -70,6 +71,7 @@ class WordIds:
     MARK = b"\x01"
 
     def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(vocabulary)
@@ -80,7 +82,8 @@ class WordIds:
         (self.mark,) = self.ids(self.MARK).tolist()
 
     def ids(self, text: bytes) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4")
+        (found,) = self.tokenizer.encode_batch_fast([text.decode("utf-8", "replace")], add_special_tokens=False)
+        return np.array(found.ids, "<u4")
 
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
         found: dict[bytes, bytes] = {}
@@ -100,19 +103,28 @@ class WordIds:
         return found
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
-        words = [t.split() for t in texts]
-        memo = self.new
-        wanted = list(set().union(*words).difference(memo))
-        known = {w: self.old[w] for w in wanted if w in self.old}
-        memo |= known
-        memo |= self.learn([w for w in wanted if w not in known])
-        out = [b"".join(map(memo.__getitem__, ws)) for ws in words]
-        for w in wanted:
-            if len(w) > 64:
-                del memo[w]
+        memo, held, holes = self.new, [], []
+        for t in texts:
+            words = t.split()
+            values = list(map(memo.get, words))
+            held.append(values)
+            at = 0
+            try:
+                while True:
+                    at = values.index(None, at)
+                    holes.append((values, at, words[at]))
+                    at += 1
+            except ValueError:
+                pass
+        wanted = list(dict.fromkeys(w for _, _, w in holes))
+        found = {w: self.old[w] for w in wanted if w in self.old}
+        found |= self.learn([w for w in wanted if w not in found])
+        for values, at, w in holes:
+            values[at] = found[w]
+        memo.update((w, ids) for w, ids in found.items() if len(w) <= 64)
         if len(memo) > MEMO_WORDS:
             self.old, self.new = memo, {}
-        return out
+        return list(map(b"".join, held))
 
 
 def batches_of(texts: Iterator[bytes], rows: int = 256, size: int = 1 << 20) -> Iterator[list[bytes]]:
