@@ -9,6 +9,8 @@ from lexflume.llm._common import frozen
 
 #: Production parameters: weight of a source = its rows to this power; seed of both hashes.
 TEMPERATURE, SEED = 0.7, 17
+#: Numbers in the sources' distributions up to which they are broadcast (8 bytes each); beyond, the join shuffles.
+BROADCAST_TERMS = 1_000_000
 #: Stands for a null source; a prefix keeps it apart from every real name.
 NO_SOURCE, A_SOURCE = "0", "1"
 
@@ -44,7 +46,9 @@ def mixture(docs: DataFrame, *, source: str = "source", weights: dict[str, float
     terms = terms.withColumn("log_p", F.expr(f"k * ln(rate) - rate - sum(ln(greatest(k, 1))) {up_to}"))
     terms = terms.withColumn("c", F.expr(f"sum(exp(log_p)) {up_to}"))
     cdf = terms.groupBy("_source").agg(F.array_sort(F.collect_list("c")).alias("cdf"))
-    return rates.join(cdf, "_source", "left").select("_source", "rows", "rate", F.coalesce("cdf", F.array(F.lit(2.0))).alias("cdf"))
+    found = frozen(rates.join(cdf, "_source", "left").select("_source", "rows", "rate", F.coalesce("cdf", F.array(F.lit(2.0))).alias("cdf")))
+    size = found.agg(F.sum(F.size("cdf") + 8)).first()[0] or 0
+    return F.broadcast(found) if size <= BROADCAST_TERMS else found
 
 
 def mix(docs: DataFrame, *, source: str = "source", key: str = "doc_id", weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, total: int | None = None, seed: int = SEED) -> DataFrame:
@@ -54,7 +58,8 @@ def mix(docs: DataFrame, *, source: str = "source", key: str = "doc_id", weights
     hashed from seed and key, so it depends on nothing else: equal keys (null too)
     draw alike. Null sources are one source. Rows go to partitions by the hash of
     shuffle_key, which differs for every copy, and are sorted by it there, so a hot
-    source or key spreads evenly; nothing about texts is computed. Columns named copy
+    source or key spreads evenly; nothing about texts is computed. The distributions
+    are broadcast if they are small, which is measured. Columns named copy
     or shuffle_key are replaced; an empty table gives no rows.
     """
     docs = docs.drop("copy", "shuffle_key")
