@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,27 +34,60 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """df written once as a Parquet table in the shared checkpoint folder; smaller there than a checkpoint."""
+    spark = df.sparkSession
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="lexflume-tables-")
+    path = f"{root.rstrip('/')}/lexflume-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+#: Edges that one task joins in memory (two numbers each) before they are passed on as stars.
+LOCAL_EDGES = 500_000
+
+
+def _local_stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        top = x
+        while (up := parent.setdefault(top, top)) != top:
+            top = up
+        while x != top:
+            parent[x], x = top, parent[x]
+        return top
+
+    for b in batches:
+        for u, v in zip(b.column("u").to_pylist(), b.column("v").to_pylist(), strict=True):
+            a, c = root(u), root(v)
+            if a != c:
+                parent[max(a, c)] = min(a, c)
+    stars = [(x, root(x)) for x in list(parent)]
+    stars = [(x, r) for x, r in stars if x != r]
+    yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in stars], pa.int64()), pa.array([r for _, r in stars], pa.int64())], names=["u", "v"])
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of every node that has an edge; component is its smallest reachable node.
 
-    Alternating stars: each node's larger neighbours, then its smaller ones, are
-    hung under its smallest neighbour until nothing moves. Every round is two
-    aggregations with map-side minima and a join that AQE may split on hot nodes;
-    the edges stay distributed and are checkpointed between rounds.
+    Every task first joins what it holds, at most about LOCAL_EDGES edges, into stars.
+    That is all for a graph of one task. Beyond, alternating stars follow: each
+    node's larger neighbours, then its smaller ones, are hung under its smallest
+    neighbour until nothing moves; these are aggregations with map-side minima and
+    joins that AQE may split on hot nodes, checkpointed between rounds.
     """
-    e = frozen(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct())
-    while not e.isEmpty():
+    e = frozen(edges.select(F.greatest(a, b).cast("long").alias("u"), F.least(a, b).cast("long").alias("v")).where("u <> v"))
+    parts = max(1, -(-e.count() // LOCAL_EDGES))
+    e = frozen(e.coalesce(parts).mapInArrow(_local_stars, "u long, v long"))
+    while parts > 1 and not e.isEmpty():
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("lo")).select("u", F.least("u", "lo").alias("lo"))
-        large = both.join(low, "u").where("v > u and v <> lo").select(F.col("v").alias("u"), F.col("lo").alias("v")).distinct()
-        large = frozen(large)
+        large = frozen(both.join(low, "u").where("v > u and v <> lo").select(F.col("v").alias("u"), F.col("lo").alias("v")).distinct())
         low = large.groupBy("u").agg(F.min("v").alias("lo"))
         small = large.join(low, "u")
-        small = small.select("u", F.col("lo").alias("v")).unionByName(small.where("v <> lo").select(F.col("v").alias("u"), F.col("lo").alias("v"))).distinct()
-        new = frozen(small)
-        # A forest of stars: no node is at once a child and a parent, and each child has one parent.
-        done = new.select("u").intersect(new.select("v")).isEmpty() and new.groupBy("u").count().where("count > 1").isEmpty()
-        e = new
-        if done:
+        e = frozen(small.select("u", F.col("lo").alias("v")).unionByName(small.where("v <> lo").select(F.col("v").alias("u"), F.col("lo").alias("v"))).distinct())
+        # Stars at last: no node is at once a child and a parent, and each child has one parent.
+        if e.select("u").intersect(e.select("v")).isEmpty() and e.groupBy("u").count().where("count > 1").isEmpty():
             break
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

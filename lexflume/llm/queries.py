@@ -68,6 +68,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_digest(documents(spark, sf_dir))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from lexflume.llm.suffix_dedup import suffix_digest
+
+    return suffix_digest(documents(spark, sf_dir))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from lexflume.llm.exact_dedup import exact_digest
 
@@ -83,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_mixing": op7_mixing,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
