@@ -174,44 +174,41 @@ def _entry_rows(e: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
 
 
 def classes(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(entries covered whole because a smaller document has their class, one entry of the smallest document of each class), by h, s."""
+    """(entries covered whole because a smaller document has their class, those of the smallest document of each class), by h, s."""
     e = e[np.lexsort((e["lo"], e["doc"], e["s"], e["h"]))]
     if not len(e):
         return e, e
     new = np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1]))
     least = e["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
-    return e[e["doc"] > least], e[new]
+    return e[e["doc"] > least], e[e["doc"] == least]
 
 
 def combined(e: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """What a task passes on: what it knows to be covered, and its entries by bucket."""
-    covered, _ = classes(e)
+    """What a task passes on: what it knows to be covered, and its other entries by bucket."""
+    covered, first = classes(e)
     if len(covered):
         yield _rows(COVERED, covered)
-        least = e[np.lexsort((e["lo"], e["doc"], e["s"], e["h"]))]
-        new = np.append(True, (least["h"][1:] != least["h"][:-1]) | (least["s"][1:] != least["s"][:-1]))
-        e = least[least["doc"] == least["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]]
-    yield _entry_rows(e, (e["h"] % np.uint64(buckets)).astype(np.int64))
+    yield _entry_rows(first, (first["h"] % np.uint64(buckets)).astype(np.int64))
 
 
 def settled(e: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Of a bucket: entries covered whole, and of anchors with several classes those that may share windows."""
-    covered, one = classes(e)
+    covered, left = classes(e)
     yield _rows(COVERED, covered)
-    if not len(one):
+    if not len(left):
         return
-    new = np.append(True, one["h"][1:] != one["h"][:-1])
+    new = np.append(True, left["h"][1:] != left["h"][:-1])
     group, first = np.cumsum(new) - 1, np.flatnonzero(new)
-    size = np.bincount(group)
-    same = np.minimum.reduceat(one["doc"], first) == np.maximum.reduceat(one["doc"], first)
-    one, group = one[(size[group] > 1) & ~same[group]], group[(size[group] > 1) & ~same[group]]
-    wanted = np.zeros(len(one), bool)
+    several = np.minimum.reduceat(left["s"], first) != np.maximum.reduceat(left["s"], first)
+    several &= np.minimum.reduceat(left["doc"], first) != np.maximum.reduceat(left["doc"], first)
+    left, group = left[several[group]], group[several[group]]
+    wanted = np.zeros(len(left), bool)
     for side in ("left", "right"):
-        _, place, times = np.unique(group * 256 + one[side], return_inverse=True, return_counts=True)
-        wanted |= (times[place] > 1) & (one[side] < 128)
-    one, group = one[wanted], group[wanted]
+        _, place, times = np.unique(group * 256 + left[side], return_inverse=True, return_counts=True)
+        wanted |= (times[place] > 1) & (left[side] < 128)
+    left, group = left[wanted], group[wanted]
     size = np.bincount(group) if len(group) else np.zeros(1, np.int64)
-    yield _rows(WANTED, one, size[group] > CROWDED)
+    yield _rows(WANTED, left, size[group] > CROWDED)
 
 
 def _bucket(table: pa.Table) -> Iterator[pa.RecordBatch]:
