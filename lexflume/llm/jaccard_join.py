@@ -9,7 +9,8 @@
    have are paired if sizes and positions allow the overlap; in a crowded shingle each
    meets its neighbours and a few hubs first.
 3. Parity bitmaps bound the overlap of a pair from above; pairs beyond it go. Then every
-   node is verified against its best partner, on the whole sets, and linked nodes merge.
+   node is verified against a few of its best partners, on the whole sets, and linked
+   nodes merge; twice.
 4. Only pairs that are still in different components are left: those of step 2, members
    of groups, and the crowded shingles across components. They are verified alike.
 """
@@ -30,7 +31,9 @@ from lexflume.llm.shingles import WORDS, all_sets, mixed
 #: Cells of the sketch (a power of two) and how many lie in one row while it is summed.
 CELLS, SLICE = 1 << 20, 1 << 12
 #: Groups in a shingle up to which all its pairs are listed at once; neighbours and hubs that each meets first beyond.
-FEW, NEIGHBOURS, HUBS = 32, 3, 3
+FEW, NEIGHBOURS, HUBS = 32, 12, 12
+#: Partners that each node is verified against in each of the rounds that merge components first.
+ROUNDS = (4, 12)
 #: Prefix shingles a bucket is meant to hold, whatever the corpus.
 BUCKET_ROWS = 250_000
 
@@ -264,13 +267,12 @@ def near_enough(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.select("a", "b", "met", "n_a", "n_b", "bits_a", "bits_b").mapInArrow(run, "a long, b long, met long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, decided on the whole sets.
+def sets_of(needed: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, shingles) of the nodes in needed.
 
-    Sets are built only for documents in some pair: a map of fixed size of the
-    cells of their ids keeps most others from being hashed, an exact join the rest.
+    Sets are built only for these: a map of fixed size of the cells of their ids
+    keeps most others from being hashed, an exact join the rest.
     """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     cells = docs.sparkSession.sparkContext.broadcast(id_cells(needed, "node"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -281,7 +283,11 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array([s.tobytes() for s in all_sets(_texts(batch))], pa.binary())], names=["node", "shingles"])
 
     sets = docs.where("_key is not null").mapInArrow(run, "node long, shingles binary")
-    sets = frozen(sets.join(needed, "node", "left_semi"))
+    return frozen(sets.join(needed, "node", "left_semi"))
+
+
+def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link, decided on the whole sets."""
     both = _with_side(_with_side(pairs, sets, "a", ["shingles"]), sets, "b", ["shingles"])
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -296,6 +302,19 @@ def verified(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     return both.select("a", "b", "shingles_a", "shingles_b").mapInArrow(check, "a long, b long").distinct()
 
 
+def wide_sets(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
+    """sets, with those of pairs' nodes added that aren't there: members of groups that weren't candidates themselves."""
+    more = frozen(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node"), "node", "left_anti"))
+    return sets if more.isEmpty() else sets.unionByName(sets_of(more, docs))
+
+
+def _best(pairs: DataFrame, partners: int) -> DataFrame:
+    """For each node up to so many partners: of each share of them, by hash, the one met in most shingles."""
+    each = pairs.select(F.col("a").alias("u"), F.col("b").alias("v"), "met").unionByName(pairs.select(F.col("b").alias("u"), F.col("a").alias("v"), "met"))
+    best = each.groupBy("u", F.pmod(F.xxhash64("v"), F.lit(partners)).alias("share")).agg(F.max(F.struct("met", "v")).alias("top"))
+    return best.select(F.least("u", "top.v").alias("a"), F.greatest("u", "top.v").alias("b")).distinct()
+
+
 def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     """The pairs whose ends aren't in one component yet."""
     for side in ("a", "b"):
@@ -333,10 +352,17 @@ def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -
     heads_met = by_xy.select(F.least("hx", "hy").alias("a"), F.greatest("hx", "hy").alias("b"), "met")
     within = node.join(heads.where("members > 1"), "gh").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n").alias("met"))
     likely = frozen(near_enough(heads_met.unionByName(within), nodes))
-    each = likely.select(F.col("a").alias("u"), F.col("b").alias("v"), "met").unionByName(likely.select(F.col("b").alias("u"), F.col("a").alias("v"), "met"))
-    best = each.groupBy("u").agg(F.max(F.struct("met", "v")).alias("top")).select(F.least("u", "top.v").alias("a"), F.greatest("u", "top.v").alias("b")).distinct()
-    links = frozen(verified(best, docs))
-    labels = components(links)
+    hot = met.where("hot").select(F.col("x").alias("token"), F.col("y").alias("gh"), "n", "pos")
+    crowd = hot.select("gh").distinct().join(node.select("gh", "node"), "gh").select("node")
+    sets = sets_of(frozen(likely.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowd).distinct()), docs)
+    links, tried, left = None, None, likely
+    for partners in ROUNDS:
+        best = frozen(_best(left, partners))
+        tried = best if tried is None else tried.unionByName(best)
+        found = verified(best, sets)
+        links = frozen(found if links is None else links.unionByName(found))
+        labels = components(links)
+        left = frozen(_apart(left.join(tried, ["a", "b"], "left_anti"), labels))
     # What is left: pairs in different components.
     member = node.join(heads.where("members > 1").select("gh"), "gh", "left_semi").join(labels, "node", "left").select("gh", "node", F.coalesce("component", "node").alias("c"))
     wide = by_xy.where("mx > 1 or my > 1").select("x", "y", "met")
@@ -345,11 +371,11 @@ def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -
     ordered_pair = (F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     l, r = member.alias("l"), member.alias("r")
     inside = l.join(r, F.expr("l.gh = r.gh and l.c < r.c")).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"), F.lit(1).cast("long").alias("met"))
-    hot = met.where("hot").select(F.col("x").alias("token"), F.col("y").alias("gh"), "n", "pos")
-    rest = _apart(likely.unionByName(near_enough(_apart(of_x.select(*ordered_pair, "met"), labels).unionByName(inside), nodes)), labels)
+    rest = _apart(left.unionByName(near_enough(_apart(of_x.select(*ordered_pair, "met"), labels).unionByName(inside), nodes)), labels)
     crowded = near_enough(_across(hot, node, labels), nodes)
-    rest = frozen(rest.unionByName(crowded).select("a", "b").distinct())
-    more = verified(rest, docs)
+    rest = frozen(rest.unionByName(crowded).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+    inside_sets = wide_sets(rest, sets, docs)
+    more = verified(rest, inside_sets)
     return known, node, frozen(links.unionByName(more))
 
 
