@@ -80,7 +80,7 @@ def distance(counts: str, reference: str):
     total = "aggregate({0}, 0D, (a, x) -> a + x)"
     shares = f"zip_with({counts}, {reference}, (x, y) -> struct(x / nullif({total.format(counts)}, 0) as p, y / nullif({total.format(reference)}, 0) as q))"
     term = "if({0} > 0, {0} * log2(2 * {0} / (s.p + s.q)), 0D)"
-    return F.expr(f"sqrt(greatest(0D, aggregate({shares}, 0D, (a, s) -> a + ({term.format('s.p')} + {term.format('s.q')}) / 2)))")
+    return F.expr(f"sqrt(abs(aggregate({shares}, 0D, (a, s) -> a + ({term.format('s.p')} + {term.format('s.q')}) / 2)))")
 
 
 def quality_rules(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: str = "doc_id", max_class_distance: float = MAX_CLASS_DISTANCE, max_word_distance: float = MAX_WORD_DISTANCE, min_chars: int = MIN_CHARS, min_words: int = MIN_WORDS) -> DataFrame:
