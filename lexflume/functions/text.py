@@ -63,6 +63,12 @@ def count(c: Column | str, pattern: str) -> Column:
     return F.regexp_count(as_column(c), F.lit(pattern)).cast("int")
 
 
+def count_chars(c: Column | str, sign: str) -> Column:
+    """Matches of a class of one character, without building an array of them."""
+    t = as_column(c)
+    return (F.length(t) - F.length(F.regexp_replace(t, f"{sign}+", ""))).cast("int")
+
+
 def title_like_key(c: Column | str) -> Column:
     """Stripped, lower case, white space collapsed: the key of titles in the audit."""
     return F.lower(collapse_ws(F.coalesce(as_column(c), F.lit(""))))
@@ -110,19 +116,19 @@ def length_metrics(c: Column | str) -> dict[str, Column]:
 def representation_features(c: str, prefix: str, *, currency: Sequence[str] = CURRENCY, groups: Mapping[str, Sequence[str]] = KEYWORD_GROUPS) -> list[Column]:
     """The explainable counts of one text column, prefix__name each; with six groups there are 24."""
     t, lengths = filled(c), length_metrics(c)
-    upper, letters = count(t, "[A-Z]"), count(t, "[A-Za-z]")
+    upper, letters = count_chars(t, "[A-Z]"), count_chars(t, "[A-Za-z]")
     out = {
         "is_empty": lengths["is_empty"],
         "character_count": lengths["character_count"],
         "word_count": lengths["word_count"],
         "number_count": count(t, NUMBER),
         "percentage_count": count(t, PERCENT),
-        "currency_symbol_count": count(t, "[" + re.escape("".join(currency)) + "]"),
+        "currency_symbol_count": count_chars(t, "[" + re.escape("".join(currency)) + "]"),
         "uppercase_character_count": upper,
         "alphabetic_character_count": letters,
         "uppercase_ratio": F.coalesce(F.try_divide(upper.cast("double"), letters), F.lit(0.0)).cast("float"),
-        "question_mark_count": count(t, r"\?"),
-        "exclamation_mark_count": count(t, "!"),
+        "question_mark_count": count_chars(t, r"\?"),
+        "exclamation_mark_count": count_chars(t, "!"),
     }
     total = F.lit(0)
     for name, keywords in groups.items():
