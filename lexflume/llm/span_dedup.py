@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
+from lexflume.llm._common import frozen
+
 #: A span is this many consecutive sentences, and as many more as it takes to this many words.
 SENTENCES, MIN_WORDS = 3, 15
 #: A longer sentence counts as several, cut after every so many words from its start.
@@ -84,7 +86,7 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     """
     every = _span_rows(docs, text, key, least, words)
     place = F.struct(F.col("_key").alias("k"), F.col("first").alias("i"))
-    firsts = every.groupBy("h1", "h2").agg(F.min(place).alias("_at"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n")
+    firsts = frozen(every.groupBy("h1", "h2").agg(F.min(place).alias("_at"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
     return every.join(firsts, ["h1", "h2"]).where(~place.eqNullSafe(F.col("_at"))).select("_key", "first", "size")
 
 
