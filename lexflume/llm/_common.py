@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -34,6 +35,22 @@ def frozen(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def compact(df: DataFrame, rows: int = 50_000) -> DataFrame:
+    """frozen, in about one partition for so many rows, so that what follows doesn't write a file for each empty one."""
+    kept = frozen(df)
+    return kept.coalesce(max(1, -(-kept.count() // rows)))
+
+
+def tidy(spark: SparkSession) -> None:
+    """Collects garbage, on which Spark deletes the shuffle files and checkpoints of frames that are gone.
+
+    A driver with much free memory hardly ever does so by itself, and a chain of
+    stages then keeps the files of all of them.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once as a Parquet table in the shared checkpoint folder; smaller there than a checkpoint."""
     spark = df.sparkSession

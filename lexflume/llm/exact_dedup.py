@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm._common import WS, frozen, text_or_empty
+from lexflume.llm._common import WS, frozen, text_or_empty, tidy
 
 #: Bytes that the first pass splits on, and by how much each later pass takes more.
 FIRST_BYTES, WIDER = 128, 16
@@ -40,7 +40,9 @@ def exact_groups(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
         met = frozen(met.select(*plain, F.coalesce("_first", "_row").alias("gid"), F.coalesce(more, F.lit(False)).alias("_more"), F.when(more, F.expr(f"substring(_rest, {width + 1})")).alias("_rest")))
         done.append(met.where("not _more").select(*plain, "gid"))
         rows = met.where("_more").select(*plain, "gid", "_rest")
-        if rows.isEmpty():
+        ended = rows.isEmpty()
+        tidy(docs.sparkSession)
+        if ended:
             return reduce(DataFrame.unionByName, done)
         width *= WIDER
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from lexflume.llm._common import components, frozen
+from lexflume.llm._common import compact, components, frozen, tidy
 from lexflume.llm.shingles import WORDS, all_sets, mixed
 
 #: Cells of the sketch (a power of two) and how many lie in one row while it is summed.
@@ -304,7 +304,7 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 def wide_sets(pairs: DataFrame, sets: DataFrame, docs: DataFrame) -> DataFrame:
     """sets, with those of pairs' nodes added that aren't there: members of groups that weren't candidates themselves."""
-    more = frozen(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node"), "node", "left_anti"))
+    more = compact(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(sets.select("node"), "node", "left_anti"))
     return sets if more.isEmpty() else sets.unionByName(sets_of(more, docs))
 
 
@@ -325,7 +325,7 @@ def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 def _across(hot: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
     """From crowded shingles, the pairs of nodes in different components whose sizes and positions allow a link."""
     e = hot.join(nodes.select("node", "gh"), "gh").join(labels, "node", "left").select("token", "node", "n", "pos", F.coalesce("component", "node").alias("c"))
-    e = frozen(e)
+    e = compact(e)
     split = e.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("token")
     e = e.join(split, "token", "left_semi")
     l, r = e.alias("l"), e.alias("r")
@@ -339,9 +339,9 @@ def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -
     docs = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(shingle_cells(docs))
-    known = frozen(facts(docs, shared))
+    known = compact(facts(docs, shared))
     linkable = known.where("n > 0 and _key is not null")
-    node = frozen(linkable.groupBy("s1", "s2").agg(F.min("_key").alias("node"), F.first("n").alias("n"), F.first("gh").alias("gh")))
+    node = compact(linkable.groupBy("s1", "s2").agg(F.min("_key").alias("node"), F.first("n").alias("n"), F.first("gh").alias("gh")))
     nodes = node.join(linkable.select(F.col("_key").alias("node"), "s1", "s2", "bits"), ["node", "s1", "s2"]).select("node", "n", "gh", "bits").dropDuplicates(["node"])
     total = linkable.agg(F.sum("n")).first()[0] or 0
     met = frozen(meetings(docs, shared, max(16, -(-total // (4 * BUCKET_ROWS)))))
@@ -351,18 +351,20 @@ def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -
     by_xy = by_x.join(heads.select(F.col("gh").alias("y"), F.col("head").alias("hy"), F.col("members").alias("my")), "y")
     heads_met = by_xy.select(F.least("hx", "hy").alias("a"), F.greatest("hx", "hy").alias("b"), "met")
     within = node.join(heads.where("members > 1"), "gh").where("node <> head").select(F.col("head").alias("a"), F.col("node").alias("b"), F.col("n").alias("met"))
-    likely = frozen(near_enough(heads_met.unionByName(within), nodes))
+    tidy(spark)
+    likely = compact(near_enough(heads_met.unionByName(within), nodes))
     hot = met.where("hot").select(F.col("x").alias("token"), F.col("y").alias("gh"), "n", "pos")
     crowd = hot.select("gh").distinct().join(node.select("gh", "node"), "gh").select("node")
-    sets = sets_of(frozen(likely.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowd).distinct()), docs)
+    sets = sets_of(compact(likely.select(F.explode(F.array("a", "b")).alias("node")).unionByName(crowd).distinct()), docs)
     links, tried, left = None, None, likely
     for partners in ROUNDS:
-        best = frozen(_best(left, partners))
+        tidy(spark)
+        best = compact(_best(left, partners))
         tried = best if tried is None else tried.unionByName(best)
         found = verified(best, sets)
-        links = frozen(found if links is None else links.unionByName(found))
+        links = compact(found if links is None else links.unionByName(found))
         labels = components(links)
-        left = frozen(_apart(left.join(tried, ["a", "b"], "left_anti"), labels))
+        left = compact(_apart(left.join(tried, ["a", "b"], "left_anti"), labels))
     # What is left: pairs in different components.
     member = node.join(heads.where("members > 1").select("gh"), "gh", "left_semi").join(labels, "node", "left").select("gh", "node", F.coalesce("component", "node").alias("c"))
     wide = by_xy.where("mx > 1 or my > 1").select("x", "y", "met")
@@ -373,10 +375,13 @@ def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -
     inside = l.join(r, F.expr("l.gh = r.gh and l.c < r.c")).select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"), F.lit(1).cast("long").alias("met"))
     rest = _apart(left.unionByName(near_enough(_apart(of_x.select(*ordered_pair, "met"), labels).unionByName(inside), nodes)), labels)
     crowded = near_enough(_across(hot, node, labels), nodes)
-    rest = frozen(rest.unionByName(crowded).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
+    tidy(spark)
+    rest = compact(rest.unionByName(crowded).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti"))
     inside_sets = wide_sets(rest, sets, docs)
     more = verified(rest, inside_sets)
-    return known, node, frozen(links.unionByName(more))
+    found = compact(links.unionByName(more))
+    tidy(spark)
+    return known, node, found
 
 
 def similar_documents(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
