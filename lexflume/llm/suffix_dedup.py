@@ -37,7 +37,7 @@ ANCHORS = LENGTH - ANCHOR + 1
 #: Windows whose anchor isn't in their middle reach this far beyond it on one side.
 REACH = (LENGTH - ANCHOR + 1) // 2
 #: Entries that a bucket is meant to hold; entries after which a task passes on what it has; classes beyond which an anchor is crowded.
-BUCKET_ROWS, FLUSH_ROWS, CROWDED = 300_000, 1_000_000, 48
+BUCKET_ROWS, FLUSH_ROWS, CROWDED = 300_000, 500_000, 48
 #: Bytes of short texts whose suffixes are sorted in step.
 SORTED_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
@@ -173,19 +173,20 @@ def _entry_rows(e: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
 
 
-def classes(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(entries covered whole because a smaller document has their class, those of the smallest document of each class), by h, s."""
-    e = e[np.lexsort((e["lo"], e["doc"], e["s"], e["h"]))]
+def classes(e: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(entries covered whole because a smaller document has their class, those of the smallest document of each class); new marks the first of each."""
     if not len(e):
         return e, e
-    new = np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1]))
-    least = e["doc"][np.flatnonzero(new)][np.cumsum(new) - 1]
+    least = np.minimum.reduceat(e["doc"], np.flatnonzero(new))[np.cumsum(new) - 1]
     return e[e["doc"] > least], e[e["doc"] == least]
 
 
 def combined(e: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
     """What a task passes on: what it knows to be covered, and its other entries by bucket."""
-    covered, first = classes(e)
+    key = e["h"] * _STEP ^ e["s"]
+    by = np.argsort(key)
+    e, key = e[by], key[by]
+    covered, first = classes(e, np.append(True, key[1:] != key[:-1]))
     if len(covered):
         yield _rows(COVERED, covered)
     yield _entry_rows(first, (first["h"] % np.uint64(buckets)).astype(np.int64))
@@ -193,7 +194,8 @@ def combined(e: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
 
 def settled(e: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Of a bucket: entries covered whole, and of anchors with several classes those that may share windows."""
-    covered, left = classes(e)
+    e = e[np.lexsort((e["s"], e["h"]))]
+    covered, left = classes(e, np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1])))
     yield _rows(COVERED, covered)
     if not len(left):
         return
