@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 WORDS = 5
-#: Bytes hashed at once; a longer document is one slab of its own.
+#: Bytes hashed at once; a longer document is a slab of its own, hashed in parts.
 SLAB = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -58,9 +58,28 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, counts
 
 
+def pieces(text: bytes, size: int = 0) -> Iterator[bytes]:
+    """The text in parts of about `size` bytes (SLAB by default), cut after white space only; a longer word is one part."""
+    size, start = size or SLAB, 0
+    while start < len(text):
+        end = min(start + size, len(text))
+        while end < len(text) and not _SPACE[text[end - 1]]:
+            end += 1
+        yield text[start:end]
+        start = end
+
+
+def all_word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """word_hashes, with a long text taken in parts, so that memory doesn't grow with it but for its hashes."""
+    if len(texts) == 1 and len(texts[0]) > SLAB:
+        hashes = np.concatenate([word_hashes([x])[0] for x in pieces(texts[0])])
+        return hashes, np.array([len(hashes)])
+    return word_hashes(texts)
+
+
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> Iterator[np.ndarray]:
     """For each text its distinct shingles, ascending; a text of fewer words has its whole sequence as one, an empty one none."""
-    hashes, counts = word_hashes(texts)
+    hashes, counts = all_word_hashes(texts)
     n = len(hashes)
     with np.errstate(over="ignore"):
         spread = hashes * _NEXT

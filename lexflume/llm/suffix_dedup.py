@@ -236,14 +236,27 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
     return (x.as_py() or b"" for x in batch.column("_text").cast(pa.binary()))
 
 
+#: Bytes of a text taken at once; longer ones come in parts that share LENGTH - 1 bytes, so each window is in one part.
+PART = 1 << 22
+
+
+def _parts(row: int, text: bytes, places: list[tuple[int, int]]) -> Iterator[bytes]:
+    for start in range(0, max(len(text) - LENGTH + 1, 1), PART):
+        places.append((row, start))
+        yield text if len(text) < PART + LENGTH else text[start : start + PART + LENGTH - 1]
+
+
 def _scan(docs: DataFrame, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            keys, at = batch.column("_key").to_numpy(zero_copy_only=False), 0
-            for slab in slabs(_texts(batch)):
+            keys = batch.column("_key").to_numpy(zero_copy_only=False)
+            parts, at = [], 0
+            for slab in slabs(x for k, text in enumerate(_texts(batch)) for x in _parts(k, text, parts)):
                 e, counts = stretches(slab)
-                e["doc"] = np.repeat(keys[at : at + len(slab)], counts)
+                row, start = np.array(parts[at : at + len(slab)], np.int64).reshape(-1, 2).T
+                e["doc"] = np.repeat(keys[row], counts)
+                e["lo"] += np.repeat(start, counts).astype(np.uint32)
                 at += len(slab)
                 held.append(e)
                 size += len(e)

@@ -193,3 +193,18 @@ def test_results_do_not_depend_on_partitions(spark, table):
     texts = near_texts(9, 60)
     one = {r["doc_id"]: r["component_id"] for r in J.similar_documents(table(texts).coalesce(1)).collect()}
     assert one == {r["doc_id"]: r["component_id"] for r in J.similar_documents(table(texts).repartition(6, F.col("doc_id"))).collect()}
+
+
+def test_long_texts_in_parts_are_the_same(spark, table, monkeypatch):
+    from lexflume.llm import shingles as H
+
+    rng = random.Random(8)
+    text = " ".join("".join(rng.choice("abc") for _ in range(rng.choice([1, 3, 9, 400]))) for _ in range(300)).encode()
+    whole = next(H.all_sets(iter([text])))
+    monkeypatch.setattr(H, "SLAB", 64)
+    assert (next(H.all_sets(iter([text]))) == whole).all() and b"".join(H.pieces(text)) == text
+    places: list = []
+    monkeypatch.setattr(U, "PART", 100)
+    cut = list(U._parts(0, text, places))
+    assert sum(max(len(x) - U.LENGTH + 1, 0) for x in cut) == len(text) - U.LENGTH + 1
+    assert all(text[s : s + len(x)] == x for (_, s), x in zip(places, cut, strict=True))
