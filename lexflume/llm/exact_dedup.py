@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm._common import WS, frozen, text_or_empty, tidy
+from lexflume.llm._common import WS, compact, frozen, text_or_empty, tidy
 
 #: Bytes that the first pass splits on, and by how much each later pass takes more.
 FIRST_BYTES, WIDER = 128, 16
@@ -20,9 +20,10 @@ def exact_groups(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
     run by byte run: rows that agree on all bytes so far are a group, a group of one
     is done, and so is a group whose text has ended. Comparing bytes decides; the
     digest is an output only. Each pass takes WIDER times more bytes, so texts of up
-    to 2 GB need at most seven. A pass is a map-side count of (group, bytes) and a
-    join back whose hot keys AQE may split; only the rest of texts that still agree
-    goes on, through the shared checkpoint folder.
+    to 2 GB need at most seven. A pass is a map-side count of (group, bytes), kept for
+    groups of two and more, and a join back whose hot keys AQE may split; only the rest of texts that still agree
+    goes on, through the shared checkpoint folder. Group labels of each pass and of
+    single rows can't meet, whichever way a scan numbers its rows.
     """
     norm = F.regexp_replace(text_or_empty(text), f"{WS}+", "")
     rows = docs.select(
@@ -31,13 +32,13 @@ def exact_groups(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
         F.char_length(text_or_empty(text)).cast("long").alias("n_codepoints"),
         norm.alias("_norm"),
     ).select(key, "_row", "n_codepoints", F.sha2(F.col("_norm").cast("binary"), 256).alias("sha256"), F.lit(0).cast("long").alias("gid"), F.col("_norm").cast("binary").alias("_rest"))
-    plain, done, width = [key, "_row", "n_codepoints", "sha256"], [], FIRST_BYTES
+    plain, done, width, passes = [key, "_row", "n_codepoints", "sha256"], [], FIRST_BYTES, 0
     while True:
         cut = rows.select(*plain, "gid", F.substring("_rest", 1, width).alias("_head"), "_rest")
-        heads = cut.groupBy("gid", "_head").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+        heads = compact(cut.groupBy("gid", "_head").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1"))
         met = cut.join(heads, ["gid", "_head"], "left")
         more = (F.col("_n") > 1) & (F.octet_length("_head") == width)
-        met = frozen(met.select(*plain, F.coalesce("_first", "_row").alias("gid"), F.coalesce(more, F.lit(False)).alias("_more"), F.when(more, F.expr(f"substring(_rest, {width + 1})")).alias("_rest")))
+        met = frozen(met.select(*plain, F.coalesce(16 * F.col("_first") + passes, -1 - F.col("_row")).alias("gid"), F.coalesce(more, F.lit(False)).alias("_more"), F.when(more, F.expr(f"substring(_rest, {width + 1})")).alias("_rest")))
         done.append(met.where("not _more").select(*plain, "gid"))
         rows = met.where("_more").select(*plain, "gid", "_rest")
         ended = rows.isEmpty()
@@ -45,6 +46,7 @@ def exact_groups(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
         if ended:
             return reduce(DataFrame.unionByName, done)
         width *= WIDER
+        passes += 1
 
 
 def exact_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -57,7 +59,7 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
     rows = exact_groups(docs, text=text, key=key)
     order = F.struct((-F.col("n_codepoints")).alias("c"), F.col(key).isNull().alias("z"), F.col(key).alias("k"), F.col("_row").alias("r"))
     best = rows.groupBy("gid").agg(F.min(order).alias("_best"), F.count(F.lit(1)).alias("group_size")).select("gid", "_best", "group_size")
-    joined = rows.join(best, "gid")
+    joined = rows.join(compact(best), "gid")
     return joined.select(key, F.col("_best.k").alias("keep_id"), "group_size", (F.col("_row") == F.col("_best.r")).alias("kept"), F.col("sha256").alias("text_sha256"), "_row")
 
 
