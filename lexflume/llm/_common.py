@@ -60,6 +60,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(df: DataFrame) -> None:
+    """Deletes the files of a stored table that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {name.rpartition("/")[0] for name in df.inputFiles()}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 #: Edges that one task joins in memory (two numbers each) before they are passed on as stars.
 LOCAL_EDGES = 500_000
 

@@ -6,17 +6,23 @@ import re
 from collections.abc import Iterator
 from itertools import pairwise
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from lexflume.llm._common import frozen
+from lexflume.llm._common import dropped, frozen, stored, tidy
+from lexflume.llm.shingles import all_word_hashes, mixed, powers, slabs
 
 #: A span is this many consecutive sentences, and as many more as it takes to this many words.
 SENTENCES, MIN_WORDS = 3, 15
 #: A longer sentence counts as several, cut after every so many words from its start.
 LONGEST = 16
+#: A passage of this many words goes at any offset; it is found by the least of its hashes of so many words.
+PASSAGE, ANCHOR = 50, 25
+#: Fewer repeated words than this at an end of a passage stay in a sentence that isn't repeated as a whole.
+EDGE = 5
 
 _END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0D]|$)|\n")
 _WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -53,6 +59,104 @@ def spans(found: list[tuple[int, int, list[bytes]]], least: int = SENTENCES, wor
             yield i, j - i, xxh3_128_digest(b"\n".join(joined[i:j]))
 
 
+_BASES = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_INVERSES = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES)
+
+
+class Runs:
+    """Hashes of any runs of words, by sums of words times powers modulo 2^64."""
+
+    def __init__(self, hashes: np.ndarray) -> None:
+        with np.errstate(over="ignore"):
+            n = len(hashes)
+            self.sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(hashes ^ b) * powers(b, n))]) for b in _BASES]
+            self.back = [powers(b, n + 1) for b in _INVERSES]
+
+    def hashed(self, k: int, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed((self.sums[k][end] - self.sums[k][start]) * self.back[k][start] + mixed((end - start).astype(np.uint64)))
+
+
+def blocks(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """(text, first start, number of starts, anchor, two hashes of all its words) of each block of passages.
+
+    The anchor of a passage is the least hash of ANCHOR words in it, the leftmost of
+    equals, so equal passages have equal anchors wherever they lie. A block is the
+    passages, one word apart, of one place of an anchor.
+    """
+    hashes, counts = all_word_hashes(texts)
+    if len(hashes) < PASSAGE:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none, none, none
+    runs, n = Runs(hashes), len(hashes) - PASSAGE + 1
+    start = np.arange(len(hashes) - ANCHOR + 1)
+    short = runs.hashed(0, start, start + ANCHOR)
+    least = start[:n] + np.lib.stride_tricks.sliding_window_view(short, PASSAGE - ANCHOR + 1).argmin(axis=1)
+    text, first = np.repeat(np.arange(len(texts)), counts), np.cumsum(counts) - counts
+    inside = np.flatnonzero(text[:n] == text[PASSAGE - 1 :])
+    if not len(inside):
+        return inside, inside, inside, inside, inside, inside
+    new = np.ones(len(inside), bool)
+    new[1:] = (np.diff(inside) > 1) | (np.diff(least[inside]) > 0)
+    at = np.flatnonzero(new)
+    lo, size = inside[at], np.diff(np.append(at, len(inside)))
+    end = lo + size - 1 + PASSAGE
+    return text[lo], lo - first[text[lo]], size, short[least[lo]].view(np.int64), runs.hashed(0, lo, end).view(np.int64), runs.hashed(1, lo, end).view(np.int64)
+
+
+def repeated_passages(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """(_key, first, size) of words in passages of PASSAGE words that an earlier place, by key and then word, has too.
+
+    Blocks that are equal as a whole are one class, of which all but the first place
+    go. Only the first places of classes whose anchor has other classes, which is
+    where repeats begin and end, are compared passage by passage. An earlier place in
+    the same document counts if it doesn't overlap.
+    """
+    kind = docs.schema[key].dataType.simpleString()
+    docs = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+
+    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            done = 0
+            for slab in slabs(x.as_py() for x in batch.column("_text").cast(pa.binary())):
+                row, lo, size, anchor, h1, h2 = blocks(slab)
+                kept = batch.column("_key").take(pa.array(row + done, pa.int64()))
+                done += len(slab)
+                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(h1), pa.array(h2), kept, pa.array(lo, pa.int32()), pa.array(size, pa.int32())], names=["anchor", "h1", "h2", "_key", "first", "size"])
+
+    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k, (x, parts) in enumerate(zip(batch.column("_text").cast(pa.binary()), batch.column("_parts").to_pylist(), strict=True)):
+                hashes, _ = all_word_hashes([x.as_py()])
+                at = np.unique(np.concatenate([np.arange(p["first"], p["first"] + p["size"]) for p in parts]))
+                at = at[at + PASSAGE <= len(hashes)]
+                runs = Runs(hashes)
+                kept = batch.column("_key").take(pa.array(np.full(len(at), k), pa.int64()))
+                yield pa.RecordBatch.from_arrays([*(pa.array(runs.hashed(j, at, at + PASSAGE).view(np.int64)) for j in (0, 1)), kept, pa.array(at, pa.int32())], names=["h1", "h2", "_key", "first"])
+
+    place = F.struct(F.col("_key").alias("k"), F.col("first").alias("i"))
+    earlier = ~F.col("_at.k").eqNullSafe(F.col("_key")) | (F.col("first") - F.col("_at.i") >= PASSAGE)
+    found = stored(docs.mapInArrow(cast, f"anchor long, h1 long, h2 long, _key {kind}, first int, size int"), "blocks")
+    met = frozen(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))  # so that AQE can split the join on hot anchors
+    every = stored(found.join(met, "anchor", "left_semi"), "repeats")
+    dropped(found)
+    del found, met
+    tidy(docs.sparkSession)
+    classes = frozen(every.groupBy("anchor", "h1", "h2").agg(F.min(place).alias("_at"), F.first("size").alias("size"), F.count(F.lit(1)).alias("n")))
+    whole = every.drop("size").join(classes.where("n > 1"), ["anchor", "h1", "h2"]).where(earlier).select("_key", "first", (F.col("size") + PASSAGE - 1).alias("size"))
+    mixed_up = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor")
+    parts = classes.join(mixed_up, "anchor", "left_semi").select(F.col("_at.k").alias("_of"), F.struct(F.col("_at.i").alias("first"), "size").alias("p"))
+    parts = parts.groupBy("_of").agg(F.collect_list("p").alias("_parts"))
+    apart = docs.join(parts, F.col("_key").eqNullSafe(F.col("_of"))).select("_key", "_text", "_parts")
+    single = stored(apart.mapInArrow(passages, f"h1 long, h2 long, _key {kind}, first int"), "passages")
+    firsts = single.groupBy("h1", "h2").agg(F.min(place).alias("_at"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    alone = single.join(firsts, ["h1", "h2"]).where(earlier).select("_key", "first", F.lit(PASSAGE).alias("size"))
+    out = frozen(whole.unionByName(alone))
+    dropped(every)
+    dropped(single)
+    return out
+
+
 def _span_rows(docs: DataFrame, text: str, key: str, least: int, words: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -90,19 +194,61 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
     return every.join(firsts, ["h1", "h2"]).where(~place.eqNullSafe(F.col("_at"))).select("_key", "first", "size")
 
 
+def _in_words(body: bytes, found: list[tuple[int, int, list[bytes]]], away: set[int], runs: list[tuple[int, int]]) -> dict[int, tuple[int, int]]:
+    """Adds to away the sentences all of whose words are in runs; (start, end) of what goes of others."""
+    parts: dict[int, tuple[int, int]] = {}
+    if not runs:
+        return parts
+    covered = np.zeros(sum(len(w) for _, _, w in found), bool)
+    for first, size in runs:
+        covered[first : first + size] = True
+    n = 0
+    for i, (a, b, words) in enumerate(found):
+        of = covered[n : n + len(words)]
+        n += len(words)
+        if i in away or not of.any():
+            continue
+        if of.all():
+            away.add(i)
+            continue
+        # Passages are longer than sentences, so at most one ends here and one begins.
+        starts = [a + m.start() for m in _WORD.finditer(body[a:b])] + [b]
+        edge = np.flatnonzero(np.diff(np.concatenate([[False], of, [False]]).astype(np.int8)))
+        size, lo, hi = max((hi - lo, lo, hi) for lo, hi in edge.reshape(-1, 2).tolist())
+        if size >= EDGE:
+            parts[i] = starts[lo], starts[hi]
+    return parts
+
+
+def _joined(cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Ascending stretches with those that touch made one."""
+    out: list[tuple[int, int]] = []
+    for a, b in cuts:
+        if out and out[-1][1] == a:
+            a = out.pop()[0]
+        out.append((a, b))
+    return out
+
+
 def span_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least: int = SENTENCES, words: int = MIN_WORDS) -> DataFrame:
     """docs with the covered sentences cut from text, and n_sentences, n_removed and n_removed_chars added.
 
     A sentence goes if any span over it is found at an earlier place: in a document
-    with a smaller key, or before it in its own. Sentences compare by their words,
-    lower-cased in ASCII; what remains stays byte by byte as it was. Documents with
-    fewer sentences or words than a span has, null and empty texts (left as they
+    with a smaller key, or before it in its own. Besides, whatever the sentences, the
+    words of each passage of PASSAGE words go that an earlier place has: whole
+    sentences, and EDGE or more words of one that the passage begins or ends in;
+    n_removed counts the sentences that are gone whole. Sentences compare by their
+    words, lower-cased in ASCII; what remains stays byte by byte as it was. Documents
+    with fewer sentences or words than a span has, null and empty texts (left as they
     are) lose nothing. Rows with one key count as one document; the null key comes
     first. Columns named like results are replaced; an empty table gives no rows.
     """
     extra = ("n_sentences", "n_removed", "n_removed_chars")
     docs = docs.drop(*extra)
-    covered = repeated_spans(docs, text=text, key=key, least=least, words=words).groupBy("_key").agg(F.collect_list(F.struct("first", "size")).alias("_cut")).withColumnRenamed("_key", "_of")
+    passages = repeated_passages(docs, text=text, key=key)
+    tidy(docs.sparkSession)
+    found = repeated_spans(docs, text=text, key=key, least=least, words=words).withColumn("word", F.lit(False)).unionByName(passages.withColumn("word", F.lit(True)))
+    covered = found.groupBy("_key").agg(F.collect_list(F.struct("first", "size", "word")).alias("_cut")).withColumnRenamed("_key", "_of")
     joined = docs.join(covered, docs[key].eqNullSafe(F.col("_of")), "left").drop("_of")
     schema = docs.schema
     for name in extra:
@@ -114,14 +260,18 @@ def span_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", leas
             for x, gone in zip(batch.column(text).cast(pa.binary()), batch.column("_cut"), strict=True):
                 body = x.as_py()
                 found = sentences(body or b"")
-                away = {i for g in gone.as_py() or () for i in range(g["first"], g["first"] + g["size"])}
-                if away:
+                cuts = gone.as_py() or ()
+                away = {i for g in cuts if not g["word"] for i in range(g["first"], g["first"] + g["size"])}
+                runs = [(g["first"], g["size"]) for g in cuts if g["word"]]
+                parts = _in_words(body, found, away, runs)
+                if away or parts:
                     left, chars, at = [], 0, 0
-                    for i, (a, b, _) in enumerate(found):
-                        if i in away:
-                            left.append(body[at:a])
-                            chars += len(body[a:b].decode())
-                            at = b
+                    for a, b in _joined([parts.get(i, (a, b)) for i, (a, b, _) in enumerate(found) if i in away or i in parts]):
+                        if runs and body[a - 1 : a].strip() and body[b : b + 1].strip():  # words on both sides stay apart
+                            a += len(body[a:b]) - len(body[a:b].lstrip())
+                        left.append(body[at:a])
+                        chars += len(body[a:b].decode())
+                        at = b
                     body = b"".join([*left, body[at:]])
                     counts.append((len(found), len(away), chars))
                 else:

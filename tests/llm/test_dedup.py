@@ -127,6 +127,37 @@ def test_long_sentences_are_cut_from_their_start():
     assert [len(w) for _, _, w in found] == [16, 16, 8, 3] and found[0][0] == 0 and all(a[1] == b[0] for a, b in zip(found, found[1:], strict=False))
 
 
+@pytest.mark.parametrize("stops", [0, 5, 12, 40])
+def test_passages_of_fifty_words_go_at_any_offset(spark, table, stops):
+    rng = random.Random(stops)
+    prose = lambda n, tag: " ".join(f"{tag}{rng.randrange(10**6)}" + ("." if stops and rng.random() < 1 / stops else "") for _ in range(n))
+    passages = [prose(n, f"p{k}x") for k, n in enumerate([50, 50, 51, 57, 64, 90, 200] * 3)]
+    texts = [f"{prose(rng.randint(0, 40), 'a')} {p} {prose(rng.randint(0, 40), 'b')}" for p in passages for _ in range(3)]
+    texts += [prose(30, "c") + " " + passages[0] + " " + prose(3, "d") + " " + passages[1].upper() + " tail"]
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t.lower()) for t in texts]
+    seen, want = set(), []
+    for w in words:
+        away = np.zeros(len(w), bool)
+        for i in range(len(w) - 49):
+            if tuple(w[i : i + 50]) in seen:
+                away[i : i + 50] = True
+            seen.add(tuple(w[i : i + 50]))
+        want.append(away)
+    assert sum(a.any() for a in want) == 2 * len(passages) + 1
+    got = {r["doc_id"]: r for r in S.span_dedup(table(texts).repartition(3)).collect()}
+    for k, (w, away) in enumerate(zip(words, want, strict=True)):
+        left = set(got[k]["text"].lower().split())
+        kept = np.array([x in left for x in w])
+        runs = int((np.diff(np.concatenate([[0], away])) == 1).sum())
+        assert kept[~away].all() and (kept & away).sum() <= 2 * (S.EDGE - 1) * runs
+        assert got[k]["n_removed_chars"] == len(texts[k]) - len(got[k]["text"])
+
+
+def test_a_passage_does_not_repeat_itself_by_overlap(spark, table):
+    got = {r["doc_id"]: r for r in S.span_dedup(table(["same " * 60, "x y " + "same " * 60])).collect()}
+    assert len(got[0]["text"].split()) == 60 and got[1]["text"].split() == ["x", "y"]
+
+
 def test_suffix_order_is_sorted_order():
     rng = random.Random(2)
     for _ in range(60):
