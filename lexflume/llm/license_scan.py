@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,25 @@ KNOWN = [
     ("GPL-2.0-only", "This work is licensed under the GNU General Public License, version 2."),
 ]
 
+#: Identifiers of the entire licences in the folder licenses, and whether the part up to the end of the terms counts too.
+TEXTS = {
+    "Apache-2.0": True, "Artistic-1.0-Perl": False, "BSD-3-Clause": False, "CC0-1.0": False, "GFDL-1.2-only": False, "GFDL-1.3-only": False, "GPL-1.0-only": True, "GPL-2.0-only": True,
+    "GPL-3.0-only": True, "LGPL-2.0-only": True, "LGPL-2.1-only": True, "LGPL-3.0-only": False, "MPL-1.1": False, "MPL-2.0": False,
+}
+_TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def entire_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of the licences in the package, read on the driver."""
+    out = []
+    for name, parts in TEXTS.items():
+        text = (files("lexflume.llm") / "licenses" / f"{name}.txt").read_text(encoding="utf-8")
+        out.append((name, text))
+        if parts:
+            terms = text[: text.index(_TERMS_END)]
+            out += [(name, terms), (name, terms + _TERMS_END)]
+    return out
+
 
 def canonical(text: Column) -> Column:
     """Lower case, no copyright lines, one space for each run of other than letters and digits, one spelling."""
@@ -59,17 +80,17 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) ->
     return rows.groupBy(F.sha2(canonical(F.col("text")), 256).alias("digest")).agg(F.min("license_id").alias("license_id"))
 
 
-def license_scan(docs: DataFrame, *, known: list[tuple[str, str]] = KNOWN, text: str = "text", key: str = "doc_id") -> DataFrame:
+def license_scan(docs: DataFrame, *, known: list[tuple[str, str]] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, digest (of the canonical whole text), license_id, notice_ids, n_notice_lines of every row.
 
     license_id: the known licence that the entire text is, else null. notice_ids:
     identifiers, sorted and joined by commas, of known texts that an entire line of
     it is (null if none), looked up by the same digest; n_notice_lines counts these
-    lines. The known texts are a fixed list of the caller's, so their digests are
-    broadcast. Empty and null texts have the digest of '' and no licence; rows with
+    lines. The known texts are a fixed list of the caller's, KNOWN and the package's
+    entire licences if none is given, so their digests are broadcast. Empty and null texts have the digest of '' and no licence; rows with
     one key share their notices; an empty table gives no rows.
     """
-    found = known_digests(docs.sparkSession, known)
+    found = known_digests(docs.sparkSession, [*KNOWN, *entire_texts()] if known is None else known)
     body = F.coalesce(F.col(text), F.lit(""))
     whole = docs.select(F.col(key).alias("_key"), F.sha2(canonical(body), 256).alias("digest")).join(F.broadcast(found), "digest", "left")
     lines = docs.select(F.col(key).alias("_key"), F.explode(F.split(body, "\n")).alias("_line"))

@@ -124,6 +124,14 @@ def test_licences_by_canonical_text(spark, table):
     assert L.license_scan(table([])).count() == 0
 
 
+def test_entire_licences(spark, table):
+    whole = {k: open(f"/usr/share/common-licenses/{f}").read() for k, f in {"Apache-2.0": "Apache-2.0", "GPL-2.0-only": "GPL-2", "GPL-3.0-only": "GPL-3", "LGPL-2.1-only": "LGPL-2.1", "LGPL-3.0-only": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}.items()}
+    texts = [*whole.values(), whole["Apache-2.0"].partition("END OF TERMS")[0].upper(), whole["MPL-2.0"] + " And more.", whole["MPL-2.0"][:-400]]
+    got = {r["doc_id"]: r["license_id"] for r in L.license_scan(table(texts)).collect()}
+    assert [got[i] for i in range(len(texts))] == [*whole, "Apache-2.0", None, None]
+    assert {k for k, _ in L.entire_texts()} == set(L.TEXTS)
+
+
 def test_wrapped_copyright_words_stay(spark):
     df = spark.createDataFrame([("AUTHORS OR\nCOPYRIGHT HOLDERS BE LIABLE",)], "t string")
     assert df.select(L.canonical(F.col("t"))).first()[0] == "authors or copyright holders be liable"
