@@ -868,9 +868,22 @@ def tfidf_report(spark, sf):
     return M.report(d, M.transform(d, model, "doc_id", "text", _SMALL_WORD), "doc_id", 300).withColumn("sparsity_pct", F.round("sparsity_pct", 6))
 
 
+@query(f"SELECT doc_id, 'word__' || term AS term, round(weight, 6) AS weight FROM (WITH {_words_sql()}, {_FITTED.format(limit=6000)} SELECT * FROM x) UNION ALL SELECT doc_id, 'char__' || term, round(weight, 6) FROM (WITH {_chars_sql()}, {_FITTED.format(limit=6000)} SELECT * FROM x)")
+def tfidf_combined_6000(spark, sf):
+    d, w = _model(spark, sf, M.WORD_RECIPE)
+    c = M.fit(d, "doc_id", "text", M.CHAR_RECIPE)
+    return _rounded(M.combined(d, "doc_id", "text", {"word": (M.WORD_RECIPE, w), "char": (M.CHAR_RECIPE, c)}))
+
+
+@query(f"WITH {_words_sql()}, {_FITTED.format(limit=6000)}, z AS (SELECT d.doc_id, count(x.term) AS nnz FROM documents d LEFT JOIN x ON d.doc_id = x.doc_id GROUP BY 1) SELECT count(*) AS rows, 6000::BIGINT AS features, sum(nnz)::BIGINT AS nnz, round(100.0 * (1 - sum(nnz) / (count(*) * 6000.0)), 6) AS sparsity_pct, count(*) FILTER (nnz = 0) AS zero_vectors, (sum(nnz) * 8 + (count(*) + 1) * 4)::BIGINT AS csr_bytes FROM z")
+def tfidf_report_6000(spark, sf):
+    d, model = _model(spark, sf, M.WORD_RECIPE)
+    return M.report(d, M.transform(d, model, "doc_id", "text", M.WORD_RECIPE), "doc_id", M.WORD_RECIPE.max_features).withColumn("sparsity_pct", F.round("sparsity_pct", 6))
+
+
 def _vectors(spark, sf) -> DataFrame:
-    d, model = _model(spark, sf, _SMALL_WORD)
-    return M.vectors(d, M.transform(d, model, "doc_id", "text", _SMALL_WORD), "doc_id", 300)
+    d, model = _model(spark, sf, M.WORD_RECIPE)
+    return M.vectors(d, M.transform(d, model, "doc_id", "text", M.WORD_RECIPE), "doc_id", M.WORD_RECIPE.max_features)
 
 
 @query()

@@ -19,6 +19,14 @@ def reps(spark, ids=(2, 5, 9, 14)):
     return spark.createDataFrame([(i, *t) for i, t in zip(ids, texts, strict=True)], "source_row_id long, a string, b string")
 
 
+def test_registered_vectors_have_the_whole_vocabulary(spark):
+    from lexflume.plans.catalog import QUERIES
+
+    sizes = {int(r["features"].strip("(").partition(",")[0]) for r in QUERIES["tfidf_roundtrip"](spark, "/root/testdata/sf0.001").collect()}
+    terms = QUERIES["tfidf_combined_6000"](spark, "/root/testdata/sf0.001").select("term").distinct().toPandas()["term"]
+    assert sizes == {6000} and terms.str.startswith("word__").sum() > 300 and terms.str.startswith("char__").sum() > 300
+
+
 def test_contract_passes_and_blocks(spark):
     good = V.input_contract(reps(spark), id_column="source_row_id", representations=["a", "b"])
     assert not V.blocks(V.report(spark, good))
