@@ -85,7 +85,7 @@ def shingle_sets(texts: list[bytes], words: int = WORDS) -> Iterator[np.ndarray]
         spread = hashes * _NEXT
         runs = np.zeros(max(n - words + 1, 0), np.uint64)
         for k in range(words):
-            runs = runs * _NEXT + spread[k : n - words + 1 + k]
+            runs = runs * _NEXT + spread[k : k + len(runs)]
         runs = mixed(runs)
         start = 0
         for c in counts.tolist():

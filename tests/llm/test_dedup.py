@@ -63,6 +63,13 @@ def test_components_without_keys_or_rows(spark, table):
     assert J.similar_documents(table([])).count() == 0
 
 
+@pytest.mark.parametrize("n", range(7))
+def test_few_words_alone_in_a_slab(n):
+    from lexflume.llm import shingles as H
+
+    assert [len(s) for s in H.all_sets(iter([b"a b c d e f"[: max(2 * n - 1, 0)]]))] == [min(n, 1) if n < 6 else 2]
+
+
 def test_bitmap_never_drops_a_link():
     rng = np.random.default_rng(1)
     for _ in range(200):
