@@ -8,7 +8,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.llm._common import frozen
@@ -184,15 +184,23 @@ class QualityModel:
     bias: float
 
 
+def fraction(h: Column) -> Column:
+    """A hash of 64 bits as a number from 0 below 2^63, its lowest 20 bits first."""
+    return F.shiftleft(F.pmod(h, F.lit(1 << 20)), 43).bitwiseOR(F.shiftrightunsigned(h, 21))
+
+
+def cutoff(total: int, train_rows: int) -> int:
+    """Below this lie about train_rows of the fractions of so many rows, all if there are fewer rows."""
+    return min((train_rows << 63) // max(total, train_rows, 1), (1 << 63) - 1)
+
+
 def fit(docs: DataFrame, *, text: str = "text", key: str = "doc_id", train_rows: int = TRAIN_ROWS) -> QualityModel:
     """Label model from the vote patterns of all rows (at most 3^7 counts reach the driver), scorer from a bounded sample.
 
     The sample is what a hash of key and text picks, about train_rows rows of any
     corpus; it is the only part that doesn't see every row.
     """
-    total = docs.count()
-    share = min(1.0, train_rows / total) if total else 0.0
-    picked = F.pmod(F.xxhash64(F.col(key), F.col(text)), F.lit(1 << 20)) < int(share * (1 << 20))
+    picked = fraction(F.xxhash64(F.col(key), F.col(text))) < cutoff(docs.count(), train_rows)
     rows = docs.select(picked.alias("picked"), F.col(text).alias("text"))
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -78,6 +78,16 @@ def test_classifier_on_held_out_labels(spark):
     assert scored[scored.quality == 1].kept.mean() > 0.985 and scored[scored.quality == 0].kept.mean() < 0.35
 
 
+def test_share_of_very_large_tables_is_not_zero(spark):
+    assert Q.cutoff(4 * 10**9, 3000) * 4 * 10**9 == pytest.approx(3000 * 2**63, rel=1e-6) and Q.cutoff(10**14, 3000) > 0
+    assert Q.cutoff(10, 3000) == Q.cutoff(3000, 3000) == 2**63 - 1 and Q.cutoff(0, 3000) > 0
+    x = spark.range(200_000).select(Q.fraction(F.xxhash64("id")).alias("x"))
+    low = x.agg(F.min("x"), F.max("x"), F.count_if(F.col("x") < Q.cutoff(200_000, 3000))).first()
+    assert 0 <= low[0] and low[1] < 2**63 and abs(low[2] - 3000) < 300
+    # Fine enough: among those that 20 bits can't tell from 0, the rest still spreads.
+    assert spark.sql("select shiftleft(xxhash64(id), 20) as h from range(1000)").select(Q.fraction(F.col("h")).alias("x")).distinct().count() == 1000
+
+
 def test_classifier_takes_odd_rows(spark, table, odd_texts):
     out = Q.quality_classifier(table(odd_texts))
     rows = out.collect()
