@@ -335,7 +335,11 @@ def _across(hot: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(facts of all rows, node of each set, links between nodes) of docs; see similar_documents."""
+    """(facts of all rows, node of each set, links between nodes) of docs; see similar_documents.
+
+    The links are a subset that spans every component, not all of them: pairs that
+    others have joined already are never looked at.
+    """
     docs = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(shingle_cells(docs))
