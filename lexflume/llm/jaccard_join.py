@@ -346,7 +346,7 @@ def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -
     known = compact(facts(docs, shared))
     linkable = known.where("n > 0 and _key is not null")
     node = compact(linkable.groupBy("s1", "s2").agg(F.min("_key").alias("node"), F.first("n").alias("n"), F.first("gh").alias("gh")))
-    nodes = node.join(linkable.select(F.col("_key").alias("node"), "s1", "s2", "bits"), ["node", "s1", "s2"]).select("node", "n", "gh", "bits").dropDuplicates(["node"])
+    nodes = node.join(linkable.select(F.col("_key").alias("node"), "s1", "s2", "bits"), ["node", "s1", "s2"]).dropDuplicates(["node", "s1", "s2"]).select("node", "n", "gh", "bits")
     total = linkable.agg(F.sum("n")).first()[0] or 0
     met = frozen(meetings(docs, shared, max(16, -(-total // (4 * BUCKET_ROWS)))))
     heads = node.groupBy("gh").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("members"))

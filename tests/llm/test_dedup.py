@@ -70,6 +70,13 @@ def test_few_words_alone_in_a_slab(n):
     assert [len(s) for s in H.all_sets(iter([b"a b c d e f"[: max(2 * n - 1, 0)]]))] == [min(n, 1) if n < 6 else 2]
 
 
+def test_texts_under_one_id_all_link(spark):
+    words = lambda tag, n: [f"{tag}{i}" for i in range(n)]
+    short, long = words("s", 60), words("l", 300)
+    df = spark.createDataFrame([(1, " ".join(short)), (1, " ".join(long)), (2, " ".join([*short, "x"])), (3, " ".join([*long, "x"]))], "doc_id long, text string")
+    assert {r["component_id"] for r in J.similar_documents(df).collect()} == {1}
+
+
 def test_bitmap_never_drops_a_link():
     rng = np.random.default_rng(1)
     for _ in range(200):
