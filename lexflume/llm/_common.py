@@ -5,7 +5,7 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,6 +23,40 @@ def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """df's columns, whatever signs their names have."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def nested(df: DataFrame, name: str = "row") -> DataFrame:
+    """df's rows as one struct, so that no name of theirs can meet one of an operator's."""
+    return df.select(F.struct(*columns_of(df)).alias(name))
+
+
+def shielded(df: DataFrame, names: Iterable[str]) -> tuple[DataFrame, list[Column]]:
+    """df with its columns of these names renamed, and the columns that give df back."""
+    taken, out, back = {c.lower() for c in df.columns} | {n.lower() for n in names}, [], []
+    for c, name in zip(columns_of(df), df.columns, strict=True):
+        aside = name
+        if name.lower() in {n.lower() for n in names}:
+            while aside.lower() in taken:
+                aside += "_aside"
+            taken.add(aside.lower())
+        out.append(c.alias(aside))
+        back.append(F.col("`" + aside.replace("`", "``") + "`").alias(name))
+    return df.select(*out), back
+
+
+def shared_folder(spark: SparkSession, make: str) -> str:
+    """The folder that driver and executors share: the session's spark.checkpoint.dir. On one machine a new folder stands in for it; on a cluster it must be set."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix=f"lexflume-{make}-")
+
+
 def frozen(df: DataFrame) -> DataFrame:
     """df computed once and kept in the cluster's shared checkpoint folder.
 
@@ -30,8 +64,8 @@ def frozen(df: DataFrame) -> DataFrame:
     (tests on one machine) a folder of our own is set.
     """
     spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lexflume-checkpoint-"))
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_folder(spark, "checkpoint"))
     return df.checkpoint(eager=True)
 
 
@@ -54,8 +88,7 @@ def tidy(spark: SparkSession) -> None:
 def stored(df: DataFrame, name: str) -> DataFrame:
     """df written once as a Parquet table in the shared checkpoint folder; smaller there than a checkpoint."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="lexflume-tables-")
-    path = f"{root.rstrip('/')}/lexflume-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark, 'tables')}/lexflume-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -33,13 +33,24 @@ def powers(base: np.uint64, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word `[^\\x20\\x09-\\x0D]+` of all texts in order, number of words of each text)."""
+_LOWER = np.arange(256, dtype=np.int64)
+_LOWER[65:91] += 32
+_LOWER[_SPACE] = 0
+
+
+def word_table(texts: list[bytes], marks: bool = False) -> tuple[np.ndarray, ...]:
+    """(hash of every word `[^\\x20\\x09-\\x0D]+` of all texts in order, number of words of each text).
+
+    With marks also, of each word, the place of its first byte in the joined texts,
+    its last byte, and the sum of its bytes with A-Z lower-cased.
+    """
     ends = np.cumsum([len(t) for t in texts])
     data = np.frombuffer(b"".join(texts), np.uint8)
     counts = np.zeros(len(texts), np.int64)
+    none = np.zeros(0, np.int64)
+    void = (np.zeros(0, np.uint64), counts, none, none, none)
     if not len(data):
-        return np.zeros(0, np.uint64), counts
+        return void if marks else void[:2]
     inside = ~_SPACE[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
@@ -47,7 +58,7 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     first[edge] = inside[edge]
     starts = np.flatnonzero(first)
     if not len(starts):
-        return np.zeros(0, np.uint64), counts
+        return void if marks else void[:2]
     number = np.cumsum(first) - 1
     at = np.arange(len(data)) - starts[np.maximum(number, 0)]
     at[~inside] = 0
@@ -55,7 +66,11 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     value[~inside] = 0
     hashes = mixed(np.add.reduceat(value, starts))
     counts = np.diff(np.concatenate([[0], np.searchsorted(starts, ends)]))
-    return hashes, counts
+    if not marks:
+        return hashes, counts
+    final = inside.copy()
+    final[:-1] &= ~inside[1:] | first[1:]
+    return hashes, counts, starts, data[final].astype(np.int64), np.add.reduceat(_LOWER[data], starts)
 
 
 def pieces(text: bytes, size: int = 0) -> Iterator[bytes]:
@@ -69,17 +84,24 @@ def pieces(text: bytes, size: int = 0) -> Iterator[bytes]:
         start = end
 
 
-def all_word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """word_hashes, with a long text taken in parts, so that memory doesn't grow with it but for its hashes."""
-    if len(texts) == 1 and len(texts[0]) > SLAB:
-        hashes = np.concatenate([word_hashes([x])[0] for x in pieces(texts[0])])
-        return hashes, np.array([len(hashes)])
-    return word_hashes(texts)
+def all_words(texts: list[bytes], marks: bool = False) -> tuple[np.ndarray, ...]:
+    """word_table, with a long text taken in parts, so that memory doesn't grow with it but for what is returned."""
+    if len(texts) > 1 or not texts or len(texts[0]) <= SLAB:
+        return word_table(texts, marks)
+    found, at = [], 0
+    for x in pieces(texts[0]):
+        hashes, _, *rest = word_table([x], marks)
+        if marks:
+            rest[0] = rest[0] + at
+        found.append((hashes, *rest))
+        at += len(x)
+    hashes, *rest = (np.concatenate(x) for x in zip(*found, strict=True))
+    return hashes, np.array([len(hashes)]), *rest
 
 
 def shingle_sets(texts: list[bytes], words: int = WORDS) -> Iterator[np.ndarray]:
     """For each text its distinct shingles, ascending; a text of fewer words has its whole sequence as one, an empty one none."""
-    hashes, counts = all_word_hashes(texts)
+    hashes, counts = all_words(texts)
     n = len(hashes)
     with np.errstate(over="ignore"):
         spread = hashes * _NEXT

@@ -1,66 +1,76 @@
-"""Substring dedup by sliding spans of consecutive sentences."""
+"""Substring dedup by sliding spans of consecutive sentences.
+
+1. One scan splits every text into sentences and hashes the span that starts at each
+   of them to 128 bits. A task keeps the first place of each hash that it has seen
+   and knows all others to be covered.
+2. The first places of all tasks meet by hash: one shuffle, in which a hash has at
+   most a row a task, however often its passage comes. All but the very first are
+   covered.
+3. What is covered is joined back to its row and cut out.
+"""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
-from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from xxhash import xxh3_128_digest
+from pyspark.sql.window import Window
 
-from lexflume.llm._common import dropped, frozen, stored, tidy
-from lexflume.llm.shingles import all_word_hashes, mixed, powers, slabs
+from lexflume.llm._common import nested
+from lexflume.llm.shingles import all_words, mixed, powers, slabs
 
 #: A span is this many consecutive sentences, and as many more as it takes to this many words.
 SENTENCES, MIN_WORDS = 3, 15
-#: A longer sentence counts as several, cut after every so many words from its start.
-LONGEST = 16
-#: A passage of this many words goes at any offset; it is found by the least of its hashes of so many words.
-PASSAGE, ANCHOR = 50, 25
-#: Fewer repeated words than this at an end of a passage stay in a sentence that isn't repeated as a whole.
-EDGE = 5
-
-_END = re.compile(rb"[.!?]+(?=[\x20\x09-\x0D]|$)|\n")
-_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
-
-
-def sentences(text: bytes, longest: int = LONGEST) -> list[tuple[int, int, list[bytes]]]:
-    """(start, end, lower-case words) of each sentence with a word; they end at .!? before white space, and at line ends."""
-    out, start = [], 0
-    ends = [m.end() for m in _END.finditer(text)]
-    if not ends or ends[-1] < len(text):
-        ends.append(len(text))
-    for end in ends:
-        words = text[start:end].lower().split()
-        if len(words) > longest:
-            at = [start + m.start() for m in _WORD.finditer(text[start:end])][::longest]
-            at[0] = start
-            for k, (a, b) in enumerate(pairwise([*at, end])):
-                out.append((a, b, words[k * longest : (k + 1) * longest]))
-        elif words:
-            out.append((start, end, words))
-        start = end
-    return out
+#: A sentence of more words is cut after each word the sum of whose lower-cased bytes SPARSE divides, and after so many words without one.
+LONGEST, SPARSE = 16, 6
+#: Spans that a task gathers before it passes on what it has.
+FLUSH_SPANS = 500_000
 
+_STOP = np.zeros(256, bool)
+_STOP[list(b".!?")] = True
+_BASES = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
+_INVERSES = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES)
 
-def spans(found: list[tuple[int, int, list[bytes]]], least: int = SENTENCES, words: int = MIN_WORDS) -> Iterator[tuple[int, int, bytes]]:
-    """(first sentence, number of sentences, 16-byte hash) of the span that starts at each sentence, if it fits."""
-    joined, sizes = [b" ".join(w) for _, _, w in found], [len(w) for _, _, w in found]
-    for i in range(len(found)):
-        j, n = i + least, sum(sizes[i : i + least])
-        while n < words and j < len(found):
-            n += sizes[j]
-            j += 1
-        if j <= len(found) and n >= words:
-            yield i, j - i, xxh3_128_digest(b"\n".join(joined[i:j]))
 
+def _starts(ends: np.ndarray) -> np.ndarray:
+    """Marks of first words from marks of last words."""
+    return np.concatenate([[True], ends[:-1]])
 
-_BASES = np.uint64(0xD6E8FEB86659FD93), np.uint64(0xA0761D6478BD642F)
-_INVERSES = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in _BASES)
+
+def sentences(texts: list[bytes], longest: int = LONGEST) -> tuple[np.ndarray, ...]:
+    """(hashes of all words, first word of each sentence, byte of its text where it starts, sentences of each text).
+
+    A sentence ends with a word that ends in one of .!?, with a line and with the
+    text. One of more than `longest` words is cut into several where its own words
+    say so, so that a passage is cut alike wherever in a sentence it begins.
+    """
+    hashes, start, last, total, counts = _marked(texts)
+    n = len(hashes)
+    if not n:
+        none = np.zeros(0, np.int64)
+        return hashes, none, none, counts
+    base = np.cumsum([0, *(len(t) for t in texts[:-1])])
+    own = np.repeat(np.arange(len(texts)), counts)
+    ends = _STOP[last]
+    lines = np.flatnonzero(np.frombuffer(b"".join(texts), np.uint8) == 10)
+    before = np.searchsorted(start, lines) - 1
+    ends[before[before >= 0]] = True
+    ends[np.cumsum(counts)[counts > 0] - 1] = True
+    whole = np.cumsum(_starts(ends)) - 1
+    ends |= (total % SPARSE == 0) & (np.bincount(whole)[whole] > longest)
+    head = _starts(ends)
+    at = np.arange(n) - np.flatnonzero(head)[np.cumsum(head) - 1]
+    ends |= (at + 1) % longest == 0
+    first = np.flatnonzero(_starts(ends))
+    return hashes, first, start[first] - base[own[first]], np.bincount(own[first], minlength=len(texts))
+
+
+def _marked(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    hashes, counts, start, last, total = all_words(texts, True)
+    return hashes, start, last, total, counts
 
 
 class Runs:
@@ -77,208 +87,155 @@ class Runs:
             return mixed((self.sums[k][end] - self.sums[k][start]) * self.back[k][start] + mixed((end - start).astype(np.uint64)))
 
 
-def blocks(texts: list[bytes]) -> tuple[np.ndarray, ...]:
-    """(text, first start, number of starts, anchor, two hashes of all its words) of each block of passages.
+def spans(hashes: np.ndarray, first: np.ndarray, each: np.ndarray, least: int = SENTENCES, words: int = MIN_WORDS) -> tuple[np.ndarray, ...]:
+    """(first sentence, number of sentences, two hashes of its words) of the shortest span that starts at each sentence, if its text has one."""
+    edge = np.append(first, len(hashes))
+    stop = np.repeat(np.cumsum(each), each)
+    i = np.arange(len(first))
+    e = np.maximum(i + least, np.searchsorted(edge, first + words))
+    fits = e <= stop
+    i, e = i[fits], e[fits]
+    runs = Runs(hashes)
+    return i, e - i, *(runs.hashed(k, edge[i], edge[e]) for k in (0, 1))
 
-    The anchor of a passage is the least hash of ANCHOR words in it, the leftmost of
-    equals, so equal passages have equal anchors wherever they lie. A block is the
-    passages, one word apart, of one place of an anchor.
-    """
-    hashes, counts = all_word_hashes(texts)
-    if len(hashes) < PASSAGE:
-        none = np.zeros(0, np.int64)
-        return none, none, none, none, none, none
-    runs, n = Runs(hashes), len(hashes) - PASSAGE + 1
-    start = np.arange(len(hashes) - ANCHOR + 1)
-    short = runs.hashed(0, start, start + ANCHOR)
-    least = start[:n] + np.lib.stride_tricks.sliding_window_view(short, PASSAGE - ANCHOR + 1).argmin(axis=1)
-    text, first = np.repeat(np.arange(len(texts)), counts), np.cumsum(counts) - counts
-    inside = np.flatnonzero(text[:n] == text[PASSAGE - 1 :])
-    if not len(inside):
-        return inside, inside, inside, inside, inside, inside
-    new = np.ones(len(inside), bool)
-    new[1:] = (np.diff(inside) > 1) | (np.diff(least[inside]) > 0)
-    at = np.flatnonzero(new)
-    lo, size = inside[at], np.diff(np.append(at, len(inside)))
-    end = lo + size - 1 + PASSAGE
-    return text[lo], lo - first[text[lo]], size, short[least[lo]].view(np.int64), runs.hashed(0, lo, end).view(np.int64), runs.hashed(1, lo, end).view(np.int64)
-
-
-def repeated_passages(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(_key, first, size) of words in passages of PASSAGE words that an earlier place, by key and then word, has too.
-
-    Blocks that are equal as a whole are one class, of which all but the first place
-    go. Only the first places of classes whose anchor has other classes, which is
-    where repeats begin and end, are compared passage by passage. An earlier place in
-    the same document counts if it doesn't overlap.
-    """
-    kind = docs.schema[key].dataType.simpleString()
-    docs = docs.select(F.col(key).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
-    def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = 0
-            for slab in slabs(x.as_py() for x in batch.column("_text").cast(pa.binary())):
-                row, lo, size, anchor, h1, h2 = blocks(slab)
-                kept = batch.column("_key").take(pa.array(row + done, pa.int64()))
-                done += len(slab)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(h1), pa.array(h2), kept, pa.array(lo, pa.int32()), pa.array(size, pa.int32())], names=["anchor", "h1", "h2", "_key", "first", "size"])
-
-    def passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k, (x, parts) in enumerate(zip(batch.column("_text").cast(pa.binary()), batch.column("_parts").to_pylist(), strict=True)):
-                hashes, _ = all_word_hashes([x.as_py()])
-                at = np.unique(np.concatenate([np.arange(p["first"], p["first"] + p["size"]) for p in parts]))
-                at = at[at + PASSAGE <= len(hashes)]
-                runs = Runs(hashes)
-                kept = batch.column("_key").take(pa.array(np.full(len(at), k), pa.int64()))
-                yield pa.RecordBatch.from_arrays([*(pa.array(runs.hashed(j, at, at + PASSAGE).view(np.int64)) for j in (0, 1)), kept, pa.array(at, pa.int32())], names=["h1", "h2", "_key", "first"])
-
-    place = F.struct(F.col("_key").alias("k"), F.col("first").alias("i"))
-    earlier = ~F.col("_at.k").eqNullSafe(F.col("_key")) | (F.col("first") - F.col("_at.i") >= PASSAGE)
-    found = stored(docs.mapInArrow(cast, f"anchor long, h1 long, h2 long, _key {kind}, first int, size int"), "blocks")
-    met = frozen(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("anchor"))  # so that AQE can split the join on hot anchors
-    every = stored(found.join(met, "anchor", "left_semi"), "repeats")
-    dropped(found)
-    del found, met
-    tidy(docs.sparkSession)
-    classes = frozen(every.groupBy("anchor", "h1", "h2").agg(F.min(place).alias("_at"), F.first("size").alias("size"), F.count(F.lit(1)).alias("n")))
-    whole = every.drop("size").join(classes.where("n > 1"), ["anchor", "h1", "h2"]).where(earlier).select("_key", "first", (F.col("size") + PASSAGE - 1).alias("size"))
-    mixed_up = classes.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("anchor")
-    parts = classes.join(mixed_up, "anchor", "left_semi").select(F.col("_at.k").alias("_of"), F.struct(F.col("_at.i").alias("first"), "size").alias("p"))
-    parts = parts.groupBy("_of").agg(F.collect_list("p").alias("_parts"))
-    apart = docs.join(parts, F.col("_key").eqNullSafe(F.col("_of"))).select("_key", "_text", "_parts")
-    single = stored(apart.mapInArrow(passages, f"h1 long, h2 long, _key {kind}, first int"), "passages")
-    firsts = single.groupBy("h1", "h2").agg(F.min(place).alias("_at"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    alone = single.join(firsts, ["h1", "h2"]).where(earlier).select("_key", "first", F.lit(PASSAGE).alias("size"))
-    out = frozen(whole.unionByName(alone))
-    dropped(every)
-    dropped(single)
+_SPAN = np.dtype([("h1", "<u8"), ("h2", "<u8"), ("row", "<i8"), ("first", "<i4"), ("size", "<i4")])
+
+
+def _ranks(keys: list, tags: list[int]) -> np.ndarray:
+    """A number for each row that rises with (key, tag), null keys first; equal rows have one."""
+    by = sorted(range(len(keys)), key=lambda r: (keys[r] is not None, keys[r], tags[r]))
+    out, rank = np.zeros(len(keys), np.int64), -1
+    for k, r in enumerate(by):
+        if not k or (keys[r], tags[r]) != (keys[by[k - 1]], tags[by[k - 1]]):
+            rank += 1
+        out[r] = rank
     return out
 
 
-def _span_rows(docs: DataFrame, text: str, key: str, least: int, words: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            row, first, size, high, low = [], [], [], [], []
-            for k, x in enumerate(batch.column("_text").cast(pa.binary())):
-                for i, n, h in spans(sentences(x.as_py() or b""), least, words):
-                    row.append(k)
-                    first.append(i)
-                    size.append(n)
-                    high.append(int.from_bytes(h[:8], "little", signed=True))
-                    low.append(int.from_bytes(h[8:], "little", signed=True))
-                if len(row) > 100_000:
-                    yield rows(batch, row, first, size, high, low)
-                    row, first, size, high, low = [], [], [], [], []
-            yield rows(batch, row, first, size, high, low)
-
-    def rows(batch, row, first, size, high, low):
-        kept = batch.column("_key").take(pa.array(row, pa.int64()))
-        return pa.RecordBatch.from_arrays([pa.array(high, pa.int64()), pa.array(low, pa.int64()), kept, pa.array(first, pa.int32()), pa.array(size, pa.int32())], names=["h1", "h2", "_key", "first", "size"])
+def _flushed(held: list[np.ndarray], keys: list, tags: list[int], kind: pa.DataType) -> pa.RecordBatch:
+    """The spans of a task's rows: all but the first place of each hash are covered already."""
+    e = np.concatenate(held) if held else np.zeros(0, _SPAN)
+    rank = _ranks(keys, tags)[e["row"]] if len(e) else np.zeros(0, np.int64)
+    by = np.lexsort(((rank << 32) | e["first"], e["h1"]))
+    e, rank = e[by], rank[by]
+    new = np.ones(len(e), bool)
+    new[1:] = (e["h1"][1:] != e["h1"][:-1]) | (e["h2"][1:] != e["h2"][:-1])
+    lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(e) else by
+    again = ~new & (rank == rank[lead]) & (e["first"] == e["first"][lead])  # the same place of a repeated row
+    e, new = e[~again], new[~again]
+    # What is covered needs no hash any more; a number of its own spreads it.
+    h1 = np.where(new, e["h1"], mixed(np.arange(len(e), dtype=np.uint64)))
+    h2 = np.where(new, e["h2"], np.uint64(0))
+    row = pa.array(e["row"])
+    return pa.RecordBatch.from_arrays([pa.array(~new), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(keys, kind).take(row), pa.array(tags, pa.int64()).take(row), pa.array(e["first"]), pa.array(e["size"])], names=["covered", "h1", "h2", "key", "tag", "first", "size"])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).mapInArrow(run, f"h1 long, h2 long, _key {kind}, first int, size int")
 
+def _texts(column: pa.Array) -> Iterator[bytes]:
+    return (x.as_py() or b"" for x in column.cast(pa.binary()))
 
-def repeated_spans(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least: int = SENTENCES, words: int = MIN_WORDS) -> DataFrame:
-    """(_key, first, size) of every span that an earlier place, by key and then position, has too.
 
-    The first place of each hash is a minimum with map-side combining, so a passage
-    in a third of all documents costs no task more than another; the join back to the
-    spans is on the full hash and AQE may split hot ones.
-    """
-    every = _span_rows(docs, text, key, least, words)
-    place = F.struct(F.col("_key").alias("k"), F.col("first").alias("i"))
-    firsts = frozen(every.groupBy("h1", "h2").agg(F.min(place).alias("_at"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
-    return every.join(firsts, ["h1", "h2"]).where(~place.eqNullSafe(F.col("_at"))).select("_key", "first", "size")
-
-
-def _in_words(body: bytes, found: list[tuple[int, int, list[bytes]]], away: set[int], runs: list[tuple[int, int]]) -> dict[int, tuple[int, int]]:
-    """Adds to away the sentences all of whose words are in runs; (start, end) of what goes of others."""
-    parts: dict[int, tuple[int, int]] = {}
-    if not runs:
-        return parts
-    covered = np.zeros(sum(len(w) for _, _, w in found), bool)
-    for first, size in runs:
-        covered[first : first + size] = True
-    n = 0
-    for i, (a, b, words) in enumerate(found):
-        of = covered[n : n + len(words)]
-        n += len(words)
-        if i in away or not of.any():
-            continue
-        if of.all():
-            away.add(i)
-            continue
-        # Passages are longer than sentences, so at most one ends here and one begins.
-        starts = [a + m.start() for m in _WORD.finditer(body[a:b])] + [b]
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], of, [False]]).astype(np.int8)))
-        size, lo, hi = max((hi - lo, lo, hi) for lo, hi in edge.reshape(-1, 2).tolist())
-        if size >= EDGE:
-            parts[i] = starts[lo], starts[hi]
-    return parts
-
-
-def _joined(cuts: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Ascending stretches with those that touch made one."""
-    out: list[tuple[int, int]] = []
-    for a, b in cuts:
-        if out and out[-1][1] == a:
-            a = out.pop()[0]
-        out.append((a, b))
-    return out
+def repeated_spans(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least: int = SENTENCES, words: int = MIN_WORDS, longest: int = LONGEST) -> DataFrame:
+    """(key, tag, first, size) of every span that an earlier place has too; tag is the hash of the row's text.
 
+    Places are ordered by key, tag and position. A row is its key and its text, so
+    rows that share a key but not the text are apart, and copies of a whole row are one.
+    """
+    kind = docs.schema[key].dataType.simpleString()
 
-def span_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least: int = SENTENCES, words: int = MIN_WORDS) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, keys, tags, size, of = [], [], [], 0, pa.null()
+        for batch in batches:
+            of = batch.schema.field("key").type
+            at, names, marks = 0, batch.column("key").to_pylist(), batch.column("tag").to_pylist()
+            for slab in slabs(_texts(batch.column("text"))):
+                hashes, first, _, each = sentences(slab, longest)
+                i, n, h1, h2 = spans(hashes, first, each, least, words)
+                e = np.zeros(len(i), _SPAN)
+                e["row"] = len(keys) + np.repeat(np.arange(len(slab)), each)[i]
+                e["first"] = i - np.repeat(np.cumsum(each) - each, each)[i]
+                e["size"], e["h1"], e["h2"] = n, h1, h2
+                keys += names[at : at + len(slab)]
+                tags += marks[at : at + len(slab)]
+                at += len(slab)
+                held.append(e)
+                size += len(e)
+                if size > FLUSH_SPANS:
+                    yield _flushed(held, keys, tags, of)
+                    held, keys, tags, size = [], [], [], 0
+        if size:
+            yield _flushed(held, keys, tags, of)
+
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(f"`{text}`").alias("tag"), F.col(f"`{text}`").alias("text"))
+    found = rows.mapInArrow(run, f"covered boolean, h1 long, h2 long, key {kind}, tag long, first int, size int")
+    place = F.struct("key", "tag", "first")
+    met = found.withColumn("at", F.min(place).over(Window.partitionBy("covered", "h1", "h2")))
+    return met.where(F.col("covered") | ~place.eqNullSafe(F.col("at"))).select("key", "tag", "first", "size")
+
+
+EXTRA = ("n_sentences", "n_removed", "n_removed_chars")
+
+
+def span_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", least: int = SENTENCES, words: int = MIN_WORDS, longest: int = LONGEST) -> DataFrame:
     """docs with the covered sentences cut from text, and n_sentences, n_removed and n_removed_chars added.
 
-    A sentence goes if any span over it is found at an earlier place: in a document
-    with a smaller key, or before it in its own. Besides, whatever the sentences, the
-    words of each passage of PASSAGE words go that an earlier place has: whole
-    sentences, and EDGE or more words of one that the passage begins or ends in;
-    n_removed counts the sentences that are gone whole. Sentences compare by their
-    words, lower-cased in ASCII; what remains stays byte by byte as it was. Documents
-    with fewer sentences or words than a span has, null and empty texts (left as they
-    are) lose nothing. Rows with one key count as one document; the null key comes
-    first. Columns named like results are replaced; an empty table gives no rows.
+    A sentence goes, with the white space after it, if any span over it is found at an
+    earlier place: in a row with a smaller key, or before it in its own. Words compare
+    by 64-bit hashes with A-Z lower-cased, spans by 128 bits; what remains stays byte
+    by byte as it was. key: whole numbers or strings.
+
+    Null and empty texts, and texts with fewer sentences or words than a span has, lose
+    nothing. Null keys come before all others. Rows that share a key (null too) and
+    differ in text are rows of their own, ordered by a hash of the text; rows that
+    repeat whole (key and text) count as one and are cut alike. A very long text is a
+    slab of its own, hashed in parts. Columns named like the three results are
+    replaced, all others pass whatever their names; an empty table gives no rows.
     """
-    extra = ("n_sentences", "n_removed", "n_removed_chars")
-    docs = docs.drop(*extra)
-    passages = repeated_passages(docs, text=text, key=key)
-    tidy(docs.sparkSession)
-    found = repeated_spans(docs, text=text, key=key, least=least, words=words).withColumn("word", F.lit(False)).unionByName(passages.withColumn("word", F.lit(True)))
-    covered = found.groupBy("_key").agg(F.collect_list(F.struct("first", "size", "word")).alias("_cut")).withColumnRenamed("_key", "_of")
-    joined = docs.join(covered, docs[key].eqNullSafe(F.col("_of")), "left").drop("_of")
+    docs = docs.drop(*EXTRA)
+    covered = repeated_spans(docs, text=text, key=key, least=least, words=words, longest=longest)
+    cuts = covered.groupBy("key", "tag").agg(F.collect_list(F.struct("first", "size")).alias("cuts")).select(F.struct("key", "tag").alias("of"), "cuts")
+    whole = nested(docs).select("row", F.struct(F.col(f"row.`{key}`").alias("key"), F.xxhash64(f"row.`{text}`").alias("tag")).alias("id"))
+    joined = whole.join(cuts, whole["id"] == cuts["of"], "left").select("row", "cuts")
     schema = docs.schema
-    for name in extra:
+    for name in EXTRA:
         schema = schema.add(name, "long")
+    place = docs.columns.index(text)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out, counts = [], []
-            for x, gone in zip(batch.column(text).cast(pa.binary()), batch.column("_cut"), strict=True):
-                body = x.as_py()
-                found = sentences(body or b"")
-                cuts = gone.as_py() or ()
-                away = {i for g in cuts if not g["word"] for i in range(g["first"], g["first"] + g["size"])}
-                runs = [(g["first"], g["size"]) for g in cuts if g["word"]]
-                parts = _in_words(body, found, away, runs)
-                if away or parts:
-                    left, chars, at = [], 0, 0
-                    for a, b in _joined([parts.get(i, (a, b)) for i, (a, b, _) in enumerate(found) if i in away or i in parts]):
-                        if runs and body[a - 1 : a].strip() and body[b : b + 1].strip():  # words on both sides stay apart
-                            a += len(body[a:b]) - len(body[a:b].lstrip())
-                        left.append(body[at:a])
-                        chars += len(body[a:b].decode())
-                        at = b
-                    body = b"".join([*left, body[at:]])
-                    counts.append((len(found), len(away), chars))
-                else:
-                    counts.append((len(found), 0, 0))
-                out.append(None if body is None else body.decode())
-            cols = {n: batch.column(n) for n in batch.schema.names if n != "_cut"} | {text: pa.array(out, pa.string())}
-            cols |= {n: pa.array([c[k] for c in counts], pa.int64()) for k, n in enumerate(extra)}
-            yield pa.RecordBatch.from_pydict({n: cols[n] for n in schema.names})
+            cols = list(batch.column("row").flatten())
+            gone, out, counts, at = batch.column("cuts"), [], [], 0
+            for slab in slabs(_texts(cols[place])):
+                _, _, start, each = sentences(slab, longest)
+                edge = np.cumsum(each) - each
+                for k, body in enumerate(slab):
+                    away = [(g["first"], g["first"] + g["size"]) for g in gone[at + k].as_py() or ()]
+                    if away:
+                        left, removed, chars = _cut(body, start[edge[k] : edge[k] + each[k]], away)
+                        out.append(left)
+                        counts.append((each[k], removed, chars))
+                    else:
+                        out.append(body)
+                        counts.append((each[k], 0, 0))
+                at += len(slab)
+            null = cols[place].is_null().to_pylist()
+            cols[place] = pa.array([None if z else x for z, x in zip(null, out, strict=True)], pa.binary()).cast(pa.string())
+            cols += [pa.array([c[k] for c in counts], pa.int64()) for k in range(len(EXTRA))]
+            yield pa.RecordBatch.from_arrays(cols, names=schema.names)
 
     return joined.mapInArrow(cut, schema)
+
+
+def _cut(body: bytes, start: np.ndarray, away: list[tuple[int, int]]) -> tuple[bytes, int, int]:
+    """(what remains, sentences gone, characters gone)."""
+    gone = np.zeros(len(start), bool)
+    for a, b in away:
+        gone[a:b] = True
+    edge = np.append(start, len(body))
+    turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8))).reshape(-1, 2)
+    left, chars, at = [], 0, 0
+    for a, b in edge[turn].tolist():
+        left.append(body[at:a])
+        chars += len(body[a:b].decode())
+        at = b
+    return b"".join([*left, body[at:]]), int(gone.sum()), chars
