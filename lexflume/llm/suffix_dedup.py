@@ -3,16 +3,22 @@
 1. Every 50-byte window of a document has an anchor: its 20-byte string of smallest
    hash, the leftmost of equals. Anchors depend on nothing but the window's bytes, so
    equal windows have equal anchors. Neighbouring windows with one anchor place are a
-   stretch; there is about one to 16 bytes.
+   stretch; there is about one to 16 bytes. Equal stretches that follow each other, as
+   in a text of one repeated byte, are one entry with their number.
 2. Stretches meet by the hash of their anchor, in buckets. Equal stretches are one
    class, with the smallest document that has it; all others are covered whole. Before
-   the shuffle each task keeps one of each class, so a passage in a third of all
-   documents costs a bucket one entry a task.
+   the shuffle each task keeps one document of each class, so a passage in a third of
+   all documents costs a bucket one entry a task.
 3. Different classes with one anchor may share some windows. Their bytes are fetched
    and their suffixes sorted by linear grouping (suffix_order): suffixes that agree in
    50 bytes are neighbours in the order, and the smallest document among them keeps its
-   bytes. Anchors with very many classes go on window by window, through step 2.
-4. What is covered is cut from the documents.
+   bytes. An anchor with more than CROWDED classes, in a task or in its bucket, is
+   split into its windows, which meet by their own hash as in step 2; so no bucket
+   gets more than CROWDED classes of an anchor from a task.
+4. What is covered is cut from the rows. A row is its key and the hash of its text.
+
+Classes and windows are equal if two hashes of 64 bits are: that of the anchor (or of
+the window) and one that is made with other multipliers.
 """
 
 from __future__ import annotations
@@ -36,27 +42,30 @@ LENGTH, ANCHOR = 50, 20
 ANCHORS = LENGTH - ANCHOR + 1
 #: Windows whose anchor isn't in their middle reach this far beyond it on one side.
 REACH = (LENGTH - ANCHOR + 1) // 2
-#: Entries that a bucket is meant to hold; entries after which a task passes on what it has; classes beyond which an anchor is crowded.
+#: Entries that a bucket is meant to hold; entries after which a task passes on what it has; classes of an anchor beyond which it is crowded.
 BUCKET_ROWS, FLUSH_ROWS, CROWDED = 300_000, 500_000, 48
 #: Bytes of short texts whose suffixes are sorted in step.
 SORTED_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
 
-_BYTE = np.random.default_rng(20240509).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_STEP = np.uint64(0x9E3779B97F4A7C15)
+_BYTE, _OTHER = np.random.default_rng(20240509).integers(1, 1 << 63, (2, 256), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_STEP, _STRIDE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xA0761D6478BD642F)
 #: Bits of a minimum's key that hold a place within a slab; the rest are of the hash.
 _PLACE_BITS = np.uint64(31)
 
-ENTRY = np.dtype([("h", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("lo", "<u4"), ("more", "u1"), ("left", "u1"), ("right", "u1"), ("lead", "u1")])
+#: h: hash of the anchor or window; s: of the class; doc, tag: key of the row and hash of its text. `more` windows follow that at lo; all of it comes
+#: `rep` times, `step` bytes apart. left, right: fingerprints beyond the anchor. An entry of MARK `more` says that its anchor is crowded elsewhere.
+ENTRY = np.dtype([("h", "<u8"), ("s", "<u8"), ("doc", "<i8"), ("tag", "<i8"), ("lo", "<u4"), ("rep", "<u4"), ("more", "u1"), ("step", "u1"), ("left", "u1"), ("right", "u1")])
+MARK = 255
 
 
-def _power(k: int) -> np.uint64:
-    return np.uint64(pow(int(_STEP), k, 1 << 64))
+def rolled(data: np.ndarray, lengths: tuple[int, ...], table: np.ndarray = _BYTE, step: np.uint64 = _STEP) -> list[np.ndarray]:
+    """For each length the hash of the string of that length from every byte on; ends that don't fit are left out."""
 
+    def _power(k: int) -> np.uint64:
+        return np.uint64(pow(int(step), k, 1 << 64))
 
-def rolled(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
-    """For each length the hash of the string of that length from every byte on; ends that don't fit are left out."""
-    doubled = {1: _BYTE[data]}
+    doubled = {1: table[data]}
     k = 1
     while 2 * k <= max(lengths):
         h = doubled[k]
@@ -76,14 +85,15 @@ def rolled(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
 
 
 def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(entries without documents, number of entries of each text)."""
+    """(entries without rows, number of entries of each text)."""
     sizes = np.array([len(t) for t in texts])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)
     data = np.frombuffer(b"".join(texts), np.uint8)
     if len(data) < LENGTH:
         return np.zeros(0, ENTRY), np.zeros(len(texts), np.int64)
     side = ANCHOR + REACH
-    anchor, window, reach = rolled(data, (ANCHOR, LENGTH, side))
+    anchor, reach = rolled(data, (ANCHOR, side))
+    (window,) = rolled(data, (LENGTH,), _OTHER, _STRIDE)
     key = (mixed(anchor) >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(anchor), dtype=np.uint64)
     low, have = key, 1
     while 2 * have <= ANCHORS:
@@ -107,14 +117,19 @@ def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     e["h"] = mixed(anchor[p])
     e["s"] = mixed(mixed(window[lo]) * _STEP + window[hi] + (hi - lo).astype(np.uint64))
     e["lo"] = lo - starts[owner[first]]
-    e["more"] = hi - lo
-    e["lead"] = p - lo
+    e["more"], e["step"] = hi - lo, hi - lo + 1
     # Fingerprints of what reaches beyond the anchor: a shared window reaches REACH bytes on the left or on the right.
     before = p - REACH
     ok = before >= starts[owner[first]]
     e["left"] = np.where(ok, mixed(reach[np.maximum(before, 0)]) & np.uint64(127), 128 + (np.arange(len(p)) & 127))
     ok = p + side <= (starts + sizes)[owner[first]]
     e["right"] = np.where(ok, mixed(reach[np.minimum(p, len(reach) - 1)]) & np.uint64(127), 128 + (np.arange(len(p)) & 127))
+    # Equal stretches in a row are one entry: their windows, and so all that can be shared, are the same.
+    apart = np.ones(len(e), bool)
+    apart[1:] = (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1]) | (owner[first][1:] != owner[first][:-1])
+    at = np.flatnonzero(apart)
+    e, first = e[at], first[at]
+    e["rep"] = np.diff(np.append(at, len(apart)))
     return e, np.bincount(owner[first], minlength=len(texts))
 
 
@@ -133,34 +148,58 @@ def _unplaned(x: bytes, width: int) -> np.ndarray:
     return out.reshape(-1).view("<u8")
 
 
+#: Columns of an entry that travel as planes of so many bytes; rows travel once each.
+_WIDTHS = (("h", 8), ("s", 8), ("lo", 4), ("rep", 4), ("more", 1), ("step", 1), ("left", 1), ("right", 1))
+
+
 def packed(e: np.ndarray) -> bytes:
-    """Entries of one bucket by document; the anchor's hash keeps 40 bits and the class's 48 (they only meet within a bucket)."""
-    e = e[np.argsort(e["doc"], kind="stable")]
-    step = np.diff(e["doc"], prepend=np.int64(0))
-    parts = [_planes(e["h"] >> np.uint64(24), 5), _planes(e["s"] >> np.uint64(16), 6), _planes(step.view(np.uint64), 8), _planes(e["lo"], 4), *(_planes(e[k], 1) for k in ("more", "left", "right", "lead"))]
-    return len(e).to_bytes(4, "little") + b"".join(parts)
+    """Entries of one bucket, row by row."""
+    e = e[np.lexsort((e["tag"], e["doc"]))]
+    new = np.ones(len(e), bool)
+    new[1:] = (e["doc"][1:] != e["doc"][:-1]) | (e["tag"][1:] != e["tag"][:-1])
+    parts = [_planes(new, 1), *(_planes(e[new][k].view(np.uint64), 8) for k in ("doc", "tag")), *(_planes(e[k], width) for k, width in _WIDTHS)]
+    return len(e).to_bytes(4, "little") + int(new.sum()).to_bytes(4, "little") + b"".join(parts)
 
 
 def unpacked(x: bytes) -> np.ndarray:
-    n = int.from_bytes(x[:4], "little")
-    e, at = np.zeros(n, ENTRY), 4
-    for name, width in (("h", 5), ("s", 6), ("doc", 8), ("lo", 4), ("more", 1), ("left", 1), ("right", 1), ("lead", 1)):
-        a = _unplaned(x[at : at + n * width], width)
+    n, rows = int.from_bytes(x[:4], "little"), int.from_bytes(x[4:8], "little")
+    e, at = np.zeros(n, ENTRY), 8
+    row = np.cumsum(_unplaned(x[at : at + n], 1)).astype(np.int64) - 1
+    at += n
+    for name in ("doc", "tag"):
+        e[name] = _unplaned(x[at : at + 8 * rows], 8).view(np.int64)[row]
+        at += 8 * rows
+    for name, width in _WIDTHS:
+        e[name] = _unplaned(x[at : at + n * width], width)
         at += n * width
-        e[name] = np.cumsum(a.view(np.int64)) if name == "doc" else a
     return e
 
 
-OUT = "key long, kind int, lo long, hi long, h long, lead int, p long, entries binary"
+OUT = "key long, tag long, kind int, lo long, hi long, rep int, step int, h long, p long, entries binary"
+NAMES = [x.split()[0] for x in OUT.split(", ")]
 COVERED, WANTED, CROWD, ENTRIES = range(4)
 
 
-def _rows(kind: int, e: np.ndarray, crowded: np.ndarray | None = None) -> pa.RecordBatch:
-    n = len(e)
-    kinds = np.full(n, kind, np.int32) if crowded is None else np.where(crowded, CROWD, kind).astype(np.int32)
+def _batch(n: int, kind, **columns) -> pa.RecordBatch:
+    kinds = {"kind": pa.int32(), "rep": pa.int32(), "step": pa.int32(), "entries": pa.binary()}
+    columns["kind"] = np.full(n, kind, np.int32) if np.isscalar(kind) else kind
+    return pa.RecordBatch.from_arrays([pa.array(columns[k], kinds.get(k, pa.int64())) if k in columns else pa.nulls(n, kinds.get(k, pa.int64())) for k in NAMES], names=NAMES)
+
+
+def _covered(e: np.ndarray) -> pa.RecordBatch:
+    """The windows of entries; of one that repeats without gaps as one stretch, else each time."""
+    whole = e["step"] == e["more"] + 1
+    times = np.where(whole, 1, e["rep"]).astype(np.int64)
+    k = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+    lo = np.repeat(e["lo"].astype(np.int64), times) + k * np.repeat(e["step"].astype(np.int64), times)
+    size = np.where(whole, e["rep"].astype(np.int64) * e["step"], e["more"].astype(np.int64) + 1)
+    return _batch(len(lo), COVERED, key=np.repeat(e["doc"], times), tag=np.repeat(e["tag"], times), lo=lo, hi=lo + np.repeat(size, times) - 1)
+
+
+def _asked(e: np.ndarray, crowded) -> pa.RecordBatch:
     lo = e["lo"].astype(np.int64)
-    cols = [pa.array(e["doc"]), pa.array(kinds), pa.array(lo), pa.array(lo + e["more"]), pa.array(e["h"].view(np.int64)), pa.array(e["lead"].astype(np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
+    kind = np.where(np.broadcast_to(crowded, len(e)), CROWD, WANTED).astype(np.int32)
+    return _batch(len(e), kind, key=e["doc"], tag=e["tag"], lo=lo, hi=lo + e["more"], rep=e["rep"].astype(np.int32), step=e["step"].astype(np.int32), h=e["h"].view(np.int64))
 
 
 def _entry_rows(e: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
@@ -168,9 +207,7 @@ def _entry_rows(e: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
     e, p = e[by], p[by]
     keys, at = np.unique(p, return_index=True)
     blobs = [packed(x) for x in np.split(e, at[1:])] if len(keys) else []
-    n = len(keys)
-    cols = [pa.nulls(n, pa.int64()), pa.array(np.full(n, ENTRIES, np.int32)), *[pa.nulls(n, pa.int64())] * 3, pa.nulls(n, pa.int32()), pa.array(keys.astype(np.int64)), pa.array(blobs, pa.binary())]
-    return pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
+    return _batch(len(keys), ENTRIES, p=keys.astype(np.int64), entries=blobs)
 
 
 def classes(e: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,22 +218,44 @@ def classes(e: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return e[e["doc"] > least], e[e["doc"] == least]
 
 
-def combined(e: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    """What a task passes on: what it knows to be covered, and its other entries by bucket."""
-    key = e["h"] * _STEP ^ e["s"]
-    by = np.argsort(key)
-    e, key = e[by], key[by]
-    covered, first = classes(e, np.append(True, key[1:] != key[:-1]))
-    if len(covered):
-        yield _rows(COVERED, covered)
-    yield _entry_rows(first, (first["h"] % np.uint64(buckets)).astype(np.int64))
+def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the run that each of the sorted values is in, length of each run)."""
+    new = np.append(True, values[1:] != values[:-1])
+    run = np.cumsum(new) - 1
+    return run, np.bincount(run)
 
 
-def settled(e: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Of a bucket: entries covered whole, and of anchors with several classes those that may share windows."""
+def combined(e: np.ndarray, buckets: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """What a task passes on: what it knows to be covered, its entries by bucket, and of anchors with over `most` entries the stretches, with a mark for the bucket."""
+    by = np.lexsort((e["s"], e["h"]))
+    e = e[by]
+    covered, left = classes(e, np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1])))
+    if len(covered):
+        yield _covered(covered)
+    if most is not None:
+        run, size = _runs(left["h"])
+        crowded = (size > most)[run]
+        if crowded.any():
+            yield _asked(left[crowded], True)
+            marks = left[crowded & np.append(True, run[1:] != run[:-1])].copy()
+            marks["more"], marks["doc"], marks["tag"] = MARK, LAST, 0
+            left = np.concatenate([left[~crowded], marks])
+    yield _entry_rows(left, (left["h"] % np.uint64(buckets)).astype(np.int64))
+
+
+def settled(e: np.ndarray, most: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Of a bucket: entries covered whole, and of anchors with several classes those that may share windows; without `most`, of windows, the former only."""
+    crowd = np.unique(e["h"][e["more"] == MARK])
+    e = e[e["more"] != MARK]
     e = e[np.lexsort((e["s"], e["h"]))]
     covered, left = classes(e, np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1])))
-    yield _rows(COVERED, covered)
+    yield _covered(covered)
+    if most is None or not len(left):
+        return
+    marked = np.isin(left["h"], crowd)
+    if marked.any():
+        yield _asked(left[marked], True)
+        left = left[~marked]
     if not len(left):
         return
     new = np.append(True, left["h"][1:] != left["h"][:-1])
@@ -210,24 +269,25 @@ def settled(e: np.ndarray) -> Iterator[pa.RecordBatch]:
         wanted |= (times[place] > 1) & (left[side] < 128)
     left, group = left[wanted], group[wanted]
     size = np.bincount(group) if len(group) else np.zeros(1, np.int64)
-    yield _rows(WANTED, left, size[group] > CROWDED)
+    yield _asked(left, size[group] > most)
 
 
-def _bucket(table: pa.Table) -> Iterator[pa.RecordBatch]:
+def _bucket(table: pa.Table, most: int | None = None) -> Iterator[pa.RecordBatch]:
     """A group of rows of one bucket: entries are settled, all else passes."""
     plain = table.filter(pc.not_equal(table.column("kind"), ENTRIES))
     yield from plain.to_batches()
     blobs = table.filter(pc.equal(table.column("kind"), ENTRIES)).column("entries")
     if len(blobs):
-        yield from settled(np.concatenate([unpacked(x.as_py()) for x in blobs]))
+        yield from settled(np.concatenate([unpacked(x.as_py()) for x in blobs]), most)
 
 
-def _bucketed(rows: DataFrame, buckets: int) -> DataFrame:
-    """Entries by bucket, what is covered already by document."""
-    p = F.when(F.col("kind") == ENTRIES, F.col("p")).otherwise(-1 - F.pmod(F.xxhash64("key"), F.lit(buckets)))
+def _bucketed(rows: DataFrame, buckets: int, most: int) -> DataFrame:
+    """Entries by bucket, all else by document."""
+    p = F.when(F.col("kind") == ENTRIES, F.col("p")).otherwise(-1 - F.pmod(F.xxhash64("key", "tag"), F.lit(buckets)))
 
     def run(table: pa.Table) -> pa.Table:
-        return pa.Table.from_batches([b.select([x.split()[0] for x in OUT.split(", ")]) for b in _bucket(table.drop_columns(["bucket"]))], table.drop_columns(["bucket"]).schema)
+        table = table.select(NAMES)
+        return pa.Table.from_batches(list(_bucket(table, most)), table.schema)
 
     return rows.withColumn("bucket", p).groupBy("bucket").applyInArrow(run, OUT)
 
@@ -246,25 +306,25 @@ def _parts(row: int, text: bytes, places: list[tuple[int, int]]) -> Iterator[byt
         yield text if len(text) < PART + LENGTH else text[start : start + PART + LENGTH - 1]
 
 
-def _scan(docs: DataFrame, buckets: int) -> DataFrame:
+def _scan(docs: DataFrame, buckets: int, most: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            keys = batch.column("_key").to_numpy(zero_copy_only=False)
+            keys, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_key", "_tag"))
             parts, at = [], 0
             for slab in slabs(x for k, text in enumerate(_texts(batch)) for x in _parts(k, text, parts)):
                 e, counts = stretches(slab)
                 row, start = np.array(parts[at : at + len(slab)], np.int64).reshape(-1, 2).T
-                e["doc"] = np.repeat(keys[row], counts)
+                e["doc"], e["tag"] = np.repeat(keys[row], counts), np.repeat(tags[row], counts)
                 e["lo"] += np.repeat(start, counts).astype(np.uint32)
                 at += len(slab)
                 held.append(e)
                 size += len(e)
                 if size > FLUSH_ROWS:
-                    yield from combined(np.concatenate(held), buckets)
+                    yield from combined(np.concatenate(held), buckets, most)
                     held, size = [], 0
         if size:
-            yield from combined(np.concatenate(held), buckets)
+            yield from combined(np.concatenate(held), buckets, most)
 
     return docs.mapInArrow(run, OUT)
 
@@ -331,37 +391,33 @@ def _sorted(lanes: list[np.ndarray], doc: np.ndarray, strings: list[bytes]) -> n
 
 def _fetched(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
     """The rows that settle the wanted stretches: their bytes by anchor, or their windows by hash where an anchor is crowded."""
-    asked = wanted.groupBy("key").agg(F.collect_list(F.struct("lo", "hi", "h", (F.col("kind") == CROWD).alias("crowd"))).alias("ask"))
-    met = _touched(docs, asked.select("key")).join(asked, F.col("_key") == F.col("key")).select("_key", "_text", "ask")
+    asked = wanted.groupBy("key", "tag").agg(F.collect_list(F.struct("lo", "hi", "rep", "step", "h", (F.col("kind") == CROWD).alias("crowd"))).alias("ask"))
+    met = _touched(docs, asked.select("key")).join(asked, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag"))).select("_key", "_tag", "_text", "ask")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            key, kind, lo, hi, h, blob = [], [], [], [], [], []
-            for k, x, ask in zip(batch.column("_key").to_pylist(), _texts(batch), batch.column("ask"), strict=True):
+            rows, blob = [], []
+            for key, tag, x, ask in zip(batch.column("_key").to_pylist(), batch.column("_tag").to_pylist(), _texts(batch), batch.column("ask"), strict=True):
                 for a in ask.as_py():
                     part = x[a["lo"] : a["hi"] + LENGTH]
                     if a["crowd"]:
-                        (w,) = rolled(np.frombuffer(part, np.uint8), (LENGTH,))
-                        e = np.zeros(len(w), ENTRY)
-                        e["h"], e["doc"], e["lo"] = mixed(w), k, a["lo"] + np.arange(len(w))
-                        e["s"] = e["h"] << np.uint64(32)
+                        data = np.frombuffer(part, np.uint8)
+                        e = np.zeros(len(data) - LENGTH + 1, ENTRY)
+                        e["h"], e["s"] = mixed(rolled(data, (LENGTH,))[0]), mixed(rolled(data, (LENGTH,), _OTHER, _STRIDE)[0])
+                        e["doc"], e["tag"], e["lo"], e["rep"], e["step"] = key, tag, a["lo"] + np.arange(len(e)), a["rep"], a["step"]
                         held.append(e)
                         size += len(e)
                     else:
-                        key.append(k)
-                        lo.append(a["lo"])
-                        hi.append(a["hi"])
-                        h.append(a["h"])
+                        rows.append((key, tag, a["lo"], a["hi"], a["rep"], a["step"], a["h"]))
                         blob.append(part)
                 if size > FLUSH_ROWS:
                     yield from combined(np.concatenate(held), buckets)
                     held, size = [], 0
-            n = len(key)
-            h = np.array(h, np.int64)
-            p = buckets + (h.view(np.uint64) % np.uint64(buckets)).astype(np.int64)
-            cols = [pa.array(key, pa.int64()), pa.array(np.full(n, WANTED, np.int32)), pa.array(lo, pa.int64()), pa.array(hi, pa.int64()), pa.array(h), pa.nulls(n, pa.int32()), pa.array(p), pa.array(blob, pa.binary())]
-            yield pa.RecordBatch.from_arrays(cols, names=[x.split()[0] for x in OUT.split(", ")])
+            cols = dict(zip(("key", "tag", "lo", "hi", "rep", "step", "h"), np.array(rows, np.int64).reshape(-1, 7).T, strict=True))
+            cols["rep"], cols["step"] = cols["rep"].astype(np.int32), cols["step"].astype(np.int32)
+            p = buckets + (cols["h"].copy().view(np.uint64) % np.uint64(buckets)).astype(np.int64)
+            yield _batch(len(rows), WANTED, p=p, entries=blob, **cols)
         if size:
             yield from combined(np.concatenate(held), buckets)
 
@@ -369,25 +425,24 @@ def _fetched(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
 
 
 def _compared(rows: DataFrame, buckets: int) -> DataFrame:
-    p = F.when(F.col("kind") == COVERED, -1 - F.pmod(F.xxhash64("key"), F.lit(buckets))).otherwise(F.col("p"))
+    p = F.when(F.col("kind") == COVERED, -1 - F.pmod(F.xxhash64("key", "tag"), F.lit(buckets))).otherwise(F.col("p"))
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.drop_columns(["bucket"])
-        names = table.schema.names
+        table = table.select(NAMES)
         strings = table.filter(pc.equal(table.column("kind"), WANTED))
-        found = [b.select(names) for b in _bucket(table.filter(pc.not_equal(table.column("kind"), WANTED))) if b.num_rows]
-        found = [b.filter(pc.equal(b.column("kind"), COVERED)) for b in found]
+        found = [b for b in _bucket(table.filter(pc.not_equal(table.column("kind"), WANTED))) if b.num_rows]
         if strings.num_rows:
-            doc, lo = (strings.column(c).to_numpy() for c in ("key", "lo"))
+            doc, tag, lo, rep, step = (strings.column(c).to_numpy() for c in ("key", "tag", "lo", "rep", "step"))
             gone = shared_windows(strings.column("h").to_numpy(), doc, strings.column("entries").to_pylist())
             gone = gone[np.lexsort((gone[:, 1], gone[:, 0]))]
             row, w = gone[:, 0], gone[:, 1]
             new = np.append(True, (row[1:] != row[:-1]) | (w[1:] != w[:-1] + 1)) if len(row) else np.zeros(0, bool)
             at = np.flatnonzero(new)
             e = np.zeros(len(at), ENTRY)
-            e["doc"], e["lo"] = doc[row[at]], lo[row[at]] + w[at]
+            of = row[at]
+            e["doc"], e["tag"], e["lo"], e["rep"], e["step"] = doc[of], tag[of], lo[of] + w[at], rep[of], step[of]
             e["more"] = w[np.append(at[1:], len(row)) - 1] - w[at] if len(at) else 0
-            found.append(_rows(COVERED, e))
+            found.append(_covered(e))
         return pa.Table.from_batches(found, table.schema)
 
     return rows.withColumn("bucket", p).groupBy("bucket").applyInArrow(run, OUT)
@@ -409,35 +464,40 @@ def _hits(batch: pa.RecordBatch, cells: np.ndarray) -> np.ndarray:
     return cells[(ids >> np.uint64(44)).astype(np.int64)]
 
 
-def covered_windows(docs: DataFrame) -> DataFrame:
-    """(key, lo, hi): windows lo to hi of document key start a string that a smaller key has too. docs: _key long, _text."""
+def covered_windows(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
+    """(key, tag, lo, hi): windows lo to hi of a row start a string that a smaller key has too. docs: _key long, _tag long, _text."""
     total = docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
     buckets = max(16, -(-total // (BUCKET_ROWS * 16)))
-    met = stored(_bucketed(_scan(docs, buckets), buckets).select("key", "kind", "lo", "hi", "h"), "stretches")
+    met = stored(_bucketed(_scan(docs, buckets, crowded), buckets, crowded).select("key", "tag", "kind", "lo", "hi", "rep", "step", "h"), "stretches")
     parts = _compared(_fetched(docs, met.where(F.col("kind") != COVERED), buckets), buckets)
-    return met.where(F.col("kind") == COVERED).select("key", "lo", "hi").unionByName(parts.select("key", "lo", "hi"))
+    return met.where(F.col("kind") == COVERED).select("key", "tag", "lo", "hi").unionByName(parts.select("key", "tag", "lo", "hi"))
 
 
 RESULT = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_text binary"
 
 
-def suffix_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", with_text: bool = True) -> DataFrame:
+def suffix_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", with_text: bool = True, crowded: int = CROWDED) -> DataFrame:
     """key, n_bytes, n_removed, n_spans, kept_sha256 (and kept_text, the bytes that remain) of every row.
 
     Texts are their UTF-8 bytes, null texts empty. A byte goes if a 50-byte string
     over it also starts in a row with a smaller key, judged on the texts as they came;
-    repeats within a row, and texts below 50 bytes, lose nothing. A null key is larger
-    than all others. Rows with one key must have one text (a row that is repeated
-    does) and are judged alike. An empty table gives no rows.
+    repeats within a row, and texts below 50 bytes, lose nothing. key: whole numbers.
+
+    A null key is larger than all others. Rows that share a key (null too) lose nothing
+    to each other, and each is judged by its own text; rows that repeat whole are judged
+    alike. A very long text is taken in parts. Other columns are not carried, whatever
+    their names; an empty table gives no rows.
     """
-    name = docs.schema[key].dataType.simpleString()
-    docs = docs.select(F.coalesce(F.col(key).cast("long"), F.lit(int(LAST))).alias("_key"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    covered = stored(covered_windows(docs).groupBy("key").agg(F.collect_list(F.struct("lo", "hi")).alias("gone")), "covered")
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    docs = docs.select(F.col(f"`{key}`").alias("_own"), F.coalesce(F.col(f"`{key}`").cast("long"), F.lit(int(LAST))).alias("_key"), F.xxhash64(body).alias("_tag"), body.alias("_text"))
+    name = docs.schema["_own"].dataType.simpleString()
+    rows = docs.select("_key", "_tag", "_text")
+    covered = stored(covered_windows(rows, crowded).groupBy("key", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("gone")), "covered")
     cells = docs.sparkSession.sparkContext.broadcast(id_cells(covered, "key"))
     extra = RESULT if with_text else RESULT.rpartition(",")[0]
-    schema = f"_key long, {extra}"
+    schema = f"_own {name}, {extra}"
 
-    def result(keys: list, bodies: Iterator[bytes], gone: Iterator) -> pa.RecordBatch:
+    def result(keys: pa.Array, bodies: Iterator[bytes], gone: Iterator) -> pa.RecordBatch:
         rows = []
         for body, cuts in zip(bodies, gone, strict=True):
             removed = spans = 0
@@ -453,21 +513,20 @@ def suffix_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wi
                 spans = int(away[0]) + int((away[1:] & ~away[:-1]).sum())
             rows.append((len(body), removed, spans, hashlib.sha256(left).hexdigest(), left))
         cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))][: 5 if with_text else 4]
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *cols], names=["_key", *(x.split()[0] for x in extra.split(", "))])
+        return pa.RecordBatch.from_arrays([keys, *cols], names=["_own", *(x.split()[0] for x in extra.split(", "))])
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             batch = batch.filter(pa.array(~_hits(batch, cells.value)))
-            yield result(batch.column("_key").to_pylist(), _texts(batch), iter([None] * batch.num_rows))
+            yield result(batch.column("_own"), _texts(batch), iter([None] * batch.num_rows))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield result(batch.column("_key").to_pylist(), _texts(batch), (x.as_py() for x in batch.column("gone")))
+            yield result(batch.column("_own"), _texts(batch), (x.as_py() for x in batch.column("gone")))
 
-    may = _touched(docs, covered.select("key")).join(covered, F.col("_key") == F.col("key"), "left").select("_key", "_text", "gone")
+    may = _touched(docs, covered.select("key")).join(covered, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left").select("_own", "_text", "gone")
     every = docs.mapInArrow(untouched, schema).unionByName(may.mapInArrow(cut, schema))
-    back = F.when(F.col("_key") == F.lit(int(LAST)), None).otherwise(F.col("_key")).cast(name)
-    return every.select(back.alias(key), *[x.split()[0] for x in extra.split(", ")])
+    return every.select(F.col("_own").alias(key), *[x.split()[0] for x in extra.split(", ")])
 
 
 def suffix_digest(docs: DataFrame) -> DataFrame:

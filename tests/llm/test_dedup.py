@@ -216,52 +216,82 @@ def test_suffix_order_is_sorted_order():
             assert [g - b for g in got[b : b + len(t)]] == sorted(range(len(t)), key=lambda i: t[i:])
 
 
-def brute_cut(texts):
-    first, out = {}, {}
-    for k, t in enumerate(texts):
+def brute_cut(rows):
+    """rows of (key, text) -> their results; a null key is larger than all others."""
+    order, least, out = [k if k is not None else 1 << 63 for k, _ in rows], {}, []
+    for k, (_, t) in zip(order, rows, strict=True):
+        body = (t or "").encode()
+        for i in range(len(body) - 49):
+            s = body[i : i + 50]
+            least[s] = min(least.get(s, k), k)
+    for k, (_, t) in zip(order, rows, strict=True):
         body = (t or "").encode()
         away = np.zeros(len(body), bool)
         for i in range(len(body) - 49):
-            if first.setdefault(body[i : i + 50], k) != k:
+            if least[body[i : i + 50]] < k:
                 away[i : i + 50] = True
         left = np.frombuffer(body, np.uint8)[~away].tobytes()
         spans = int(away[:1].sum()) + int((away[1:] & ~away[:-1]).sum())
-        out[k] = (len(body), int(away.sum()), spans, hashlib.sha256(left).hexdigest(), left)
+        out.append((len(body), int(away.sum()), spans, hashlib.sha256(left).hexdigest(), left))
     return out
 
 
-@pytest.mark.parametrize("crowded", [48, 2])
-def test_suffix_dedup_against_brute_force(spark, table, odd_texts, monkeypatch, crowded):
-    monkeypatch.setattr(U, "CROWDED", crowded)
-    rng = random.Random(5)
+def check_cuts(df, **options):
+    rows = [(r["doc_id"], r["text"]) for r in df.select("doc_id", "text").collect()]
+    got = [(r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], bytes(r["kept_text"])) for r in U.suffix_dedup(df.repartition(5), **options).collect()]
+    want = [(k, *x) for (k, _), x in zip(rows, brute_cut(rows), strict=True)]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def passages(rng, n=150):
     bases = ["".join(rng.choice("ab cé") for _ in range(rng.randint(30, 300))) for _ in range(15)]
-    texts = list(odd_texts)
-    for _ in range(150):
+    out = []
+    for _ in range(n):
         parts = []
         for _ in range(rng.randint(0, 4)):
             b = rng.choice(bases)
             i = rng.randrange(len(b))
             parts.append(b[i : i + rng.randint(0, 110)])
-        texts.append("".join([*parts, "xyz " * rng.choice([0, 0, 20]), "".join(rng.choice("qrstu") for _ in range(20))]))
-    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["n_spans"], r["kept_sha256"], bytes(r["kept_text"])) for r in U.suffix_dedup(table(texts).repartition(5)).collect()}
-    assert got == brute_cut(texts)
+        out.append("".join([*parts, "xyz " * rng.choice([0, 0, 20]), "-" * rng.choice([0, 0, 49, 50, 51, 120]), "".join(rng.choice("qrstu") for _ in range(20))]))
+    return out
+
+
+@pytest.mark.parametrize(("crowded", "flush"), [(48, 500_000), (2, 500_000), (2, 60), (0, 60)])
+def test_suffix_dedup_against_brute_force(spark, table, odd_texts, monkeypatch, crowded, flush):
+    monkeypatch.setattr(U, "FLUSH_ROWS", flush)
+    check_cuts(table([*odd_texts, *passages(random.Random(5))]), crowded=crowded)
+
+
+def test_suffix_dedup_of_shared_and_null_keys(spark):
+    rng = random.Random(6)
+    keys = [rng.choice([None, None, 1, 2, 3, 3, 9, -4]) for _ in range(120)]
+    rows = list(zip(keys, passages(rng, 120), strict=True))
+    check_cuts(spark.createDataFrame([*rows, *rows[:9], (None, None), (3, None), (3, "")], "doc_id long, text string"))
 
 
 def test_suffix_dedup_of_null_keys_repeats_and_nothing(spark, table):
     long = "abcdefghij" * 7
-    df = spark.createDataFrame([(None, long), (4, long), (4, long), (2, None)], "doc_id long, text string")
+    df = spark.createDataFrame([(None, long), (4, long), (4, long), (2, None)], "doc_id int, text string")
     got = sorted((r["doc_id"] or 0, r["n_removed"]) for r in U.suffix_dedup(df).collect())
     assert got == [(0, 70), (2, 0), (4, 0), (4, 0)]
-    assert U.suffix_dedup(table([])).count() == 0
+    assert U.suffix_dedup(table([])).count() == 0 and dict(U.suffix_dedup(df).dtypes)["doc_id"] == "int"
+
+
+def test_texts_of_one_run_are_few_entries(spark, table):
+    for unit in (b"-", b"ab", b"<td></td>", b"one two three "):
+        e, n = U.stretches([unit * (200_000 // len(unit))])
+        assert n[0] < 70 and sum(e["rep"].astype(int) * (e["more"] + 1)) == len(unit) * (200_000 // len(unit)) - 49
+    check_cuts(table(["-" * 3000, "x" + "-" * 70, "ab" * 500, "b" * 20 + "ab" * 40 + "c", "ab" * 24 + "a", "one two three " * 30 + "-" * 55, "two three " + "one two three " * 9]))
 
 
 def test_entries_survive_packing():
     e = np.zeros(100, U.ENTRY)
     rng = np.random.default_rng(3)
-    e["h"], e["s"] = rng.integers(0, 1 << 40, 100).astype(np.uint64) << np.uint64(24), rng.integers(0, 1 << 48, 100).astype(np.uint64) << np.uint64(16)
-    e["doc"], e["lo"], e["more"] = np.sort(rng.integers(-5, 1 << 62, 100)), rng.integers(0, 1 << 31, 100), 7
+    for name, top in (("h", 1 << 63), ("s", 1 << 63), ("doc", 9), ("tag", 1 << 62), ("lo", 1 << 31), ("rep", 1 << 31), ("more", 31), ("step", 31), ("left", 255), ("right", 255)):
+        e[name] = rng.integers(0, top, 100)
+    e["doc"] -= 5
     got = U.unpacked(U.packed(e))
-    assert (got["doc"] == e["doc"]).all() and (got["lo"] == e["lo"]).all() and (got["h"] << np.uint64(24) == e["h"]).all() and (got["s"] << np.uint64(16) == e["s"]).all()
+    assert (np.sort(got, order=list(U.ENTRY.names)) == np.sort(e, order=list(U.ENTRY.names))).all()
 
 
 def test_results_do_not_depend_on_partitions(spark, table):
