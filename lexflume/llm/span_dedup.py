@@ -124,11 +124,12 @@ def _flushed(held: list[np.ndarray], keys: list, tags: list[int], kind: pa.DataT
     lead = np.flatnonzero(new)[np.cumsum(new) - 1] if len(e) else by
     again = ~new & (rank == rank[lead]) & (e["first"] == e["first"][lead])  # the same place of a repeated row
     e, new = e[~again], new[~again]
-    # What is covered needs no hash any more; a number of its own spreads it.
+    # What is covered needs no hash any more; a number of its own spreads it, and its place is negative.
     h1 = np.where(new, e["h1"], mixed(np.arange(len(e), dtype=np.uint64)))
     h2 = np.where(new, e["h2"], np.uint64(0))
+    at = (e["first"].astype(np.int64) << 32) | e["size"]
     row = pa.array(e["row"])
-    return pa.RecordBatch.from_arrays([pa.array(~new), pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(keys, kind).take(row), pa.array(tags, pa.int64()).take(row), pa.array(e["first"]), pa.array(e["size"])], names=["covered", "h1", "h2", "key", "tag", "first", "size"])
+    return pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), pa.array(keys, kind).take(row), pa.array(tags, pa.int64()).take(row), pa.array(np.where(new, at, ~at))], names=["h1", "h2", "key", "tag", "at"])
 
 
 def _texts(column: pa.Array) -> Iterator[bytes]:
@@ -167,10 +168,11 @@ def repeated_spans(docs: DataFrame, *, text: str = "text", key: str = "doc_id",
             yield _flushed(held, keys, tags, of)
 
     rows = docs.select(F.col(f"`{key}`").alias("key"), F.xxhash64(f"`{text}`").alias("tag"), F.col(f"`{text}`").alias("text"))
-    found = rows.mapInArrow(run, f"covered boolean, h1 long, h2 long, key {kind}, tag long, first int, size int")
-    place = F.struct("key", "tag", "first")
-    met = found.withColumn("at", F.min(place).over(Window.partitionBy("covered", "h1", "h2")))
-    return met.where(F.col("covered") | ~place.eqNullSafe(F.col("at"))).select("key", "tag", "first", "size")
+    found = rows.mapInArrow(run, f"h1 long, h2 long, key {kind}, tag long, at long")
+    place = F.struct("key", "tag", "at")
+    met = found.withColumn("least", F.min(place).over(Window.partitionBy("h1", "h2"))).where((F.col("at") < 0) | ~place.eqNullSafe(F.col("least")))
+    at = F.when(F.col("at") < 0, F.bitwise_not("at")).otherwise(F.col("at"))
+    return met.select("key", "tag", F.shiftright(at, 32).cast("int").alias("first"), at.bitwiseAND(F.lit((1 << 32) - 1)).cast("int").alias("size"))
 
 
 EXTRA = ("n_sentences", "n_removed", "n_removed_chars")
