@@ -12,10 +12,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lexflume.llm._common import columns_of, stored
 
 #: Bins that may be open at once in a task, and words in a generation of a worker's memo.
 OPEN_BINS = 512
 MEMO_WORDS = 900_000
+#: Pieces of bins that tasks leave open which one task packs again, the bins that may be open there, and the share of a bin that may stay free without it.
+AGAIN_PIECES, AGAIN_BINS, SPARE = 500_000, 200_000, 1 / 128
 
 
 class OpenBins:
@@ -40,6 +45,10 @@ class OpenBins:
         self.count -= 1
         return number
 
+    def free(self) -> dict[int, int]:
+        """The free places of each open bin."""
+        return {number: free for free, held in self.bins.items() for number in held}
+
     def place(self, length: int) -> tuple[int, int]:
         """(bin, offset) of a piece of 1 to size places."""
         fits = self.mask >> length
@@ -64,11 +73,17 @@ class WordIds:
 
     No rule of the tokenizer crosses such white space, so words are encoded once and
     remembered: in two generations, the older of which is dropped when the newer has
-    MEMO_WORDS words. New words are encoded many at a time, between marks: MARK is a
-    word that no other contains, words with its character are encoded alone.
+    MEMO_WORDS words. The tokenizer lowers case itself, so texts are lowered before they
+    are split, but for those that may have special strings, which it knows in their own
+    case. Nor does a rule of it cross from an ASCII letter or digit to the signs TAIL, so
+    a new word that ends in them is two. New words are encoded many at a time, between
+    marks: MARK is a word that no other contains, words with its character are encoded
+    alone.
     """
 
     MARK = b"\x01"
+    TAIL = b".,!?;:"
+    SPECIAL = b"<|"
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -105,7 +120,7 @@ class WordIds:
     def encode(self, texts: list[bytes]) -> list[bytes]:
         memo, held, holes = self.new, [], []
         for t in texts:
-            words = t.split()
+            words = (t if self.SPECIAL in t else t.lower()).split()
             values = list(map(memo.get, words))
             held.append(values)
             at = 0
@@ -116,9 +131,21 @@ class WordIds:
                     at += 1
             except ValueError:
                 pass
-        wanted = list(dict.fromkeys(w for _, _, w in holes))
-        found = {w: self.old[w] for w in wanted if w in self.old}
-        found |= self.learn([w for w in wanted if w not in found])
+        found: dict[bytes, bytes] = {}
+        split: dict[bytes, tuple[bytes, ...]] = {}
+        for w in dict.fromkeys(w for _, _, w in holes):
+            if (ids := self.old.get(w)) is not None:
+                found[w] = ids
+            else:
+                base = w.rstrip(self.TAIL)
+                split[w] = (base, w[len(base) :]) if len(base) < len(w) and base[-1:].isalnum() else (w,)
+        parts = {}
+        for x in {x for both in split.values() for x in both}:
+            parts[x] = self.old.get(x) if (ids := memo.get(x)) is None else ids
+        parts |= self.learn([x for x, ids in parts.items() if ids is None])
+        found |= parts
+        for w, both in split.items():
+            found[w] = b"".join([parts[x] for x in both])
         for values, at, w in holes:
             values[at] = found[w]
         memo.update((w, ids) for w, ids in found.items() if len(w) <= 64)
@@ -141,7 +168,7 @@ def batches_of(texts: Iterator[bytes], rows: int = 256, size: int = 1 << 20) ->
 
 
 _IDS: dict[int, WordIds] = {}
-PIECE = "piece integer, start long, length long, ids_crc32 long, sequence_id long, offset long"
+PIECE = {"piece": T.IntegerType(), **dict.fromkeys(("start", "length", "ids_crc32", "sequence_id", "offset"), T.LongType()), "ids": T.BinaryType()}
 
 
 def pack(docs: DataFrame, vocabulary: str, *, size: int = 4096, end_id: int = 1, open_bins: int = OPEN_BINS, text: str = "text", ids: bool = False) -> DataFrame:
@@ -149,43 +176,70 @@ def pack(docs: DataFrame, vocabulary: str, *, size: int = 4096, end_id: int = 1,
 
     A document is its ids and then end_id; a null text is empty, so it is one token.
     Documents above `size` are cut into pieces of `size`, the last may be shorter; no
-    other document is cut. Each task packs the pieces it reads, in order; sequence_id
-    is (task partition << 40) + the bin's number, so it is unique, and a task that
-    runs again gives the same rows as long as its input rows come in the same order,
-    as they do from files. Nothing is shuffled. Columns named like results are
-    replaced; repeated rows and ids are packed each on their own.
+    other document is cut. Each task packs the pieces it reads, in order. Pieces of bins
+    that are still open when a task ends, a bounded number of each task, are packed
+    again together, the longest first, so the number of sequences hardly depends on how
+    the input is dealt. sequence_id is made of a task's partition and the bin's number;
+    it is negative where pieces were packed again.
+
+    Pieces are written once to the shared folder and packed again from there, so a lost
+    executor changes nothing. Repeated rows and ids are packed each on their own, null
+    keys and other columns go along whatever their names, columns named like results
+    are replaced. A very long text is encoded by itself; an empty table gives no rows.
     """
     spark = docs.sparkSession
     shared, key = spark.sparkContext.broadcast(vocabulary), hash(vocabulary)
     extra = ["piece", "start", "length", "ids_crc32", "sequence_id", "offset", *(["ids"] if ids else [])]
-    keep = [c for c in docs.columns if c not in (*extra, text)]
-    schema = docs.select(keep).schema
-    for name, kind in (x.split() for x in PIECE.split(", ")):
-        schema = schema.add(name, kind)
-    if ids:
-        schema = schema.add("ids", "binary")
+    keep = docs.drop(*extra, text)
+    inner = columns_of(keep) or [F.lit(True).alias("there")]
+    rows = docs.select(F.struct(*inner).alias("row"), F.col(f"`{text}`").alias("text"))
+    schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *(T.StructField(n, PIECE[n]) for n in extra), T.StructField("loose", T.BooleanType())])
     end = end_id.to_bytes(4, "little")
+    kinds = [pa.int32(), *[pa.int64()] * 5, *([pa.binary()] if ids else [])]
+
+    def batch_of(row: pa.Array, made: list[tuple], loose: list[bool]) -> pa.RecordBatch:
+        cols = list(zip(*made, strict=True)) or [[]] * len(extra)
+        return pa.RecordBatch.from_arrays([row, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=True)), pa.array(loose, pa.bool_())], names=["row", *extra, "loose"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = _IDS.get(key)
         if words is None:
             words = _IDS[key] = WordIds(shared.value)
         bins, base = OpenBins(size, open_bins), TaskContext.get().partitionId() << 40
+        held, made = None, []  # the pieces of open bins
         for batch in batches:
-            row, rows = [], []
-            texts = (x.as_py() or b"" for x in batch.column(text).cast(pa.binary()))
+            row = []
+            texts = (x.as_py() or b"" for x in batch.column("text").cast(pa.binary()))
             for i, got in enumerate(x + end for part in batches_of(texts) for x in words.encode(part)):
                 for k, at in enumerate(range(0, len(got), 4 * size)):
                     cut = got[at : at + 4 * size]
                     number, offset = bins.place(len(cut) // 4)
                     row.append(i)
-                    rows.append((k, at // 4, len(cut) // 4, zlib.crc32(cut), base + number, offset, *([cut] if ids else [])))
-            kept = batch.select(keep).take(pa.array(row, pa.int64()))
-            cols = list(zip(*rows, strict=True)) or [[]] * len(extra)
-            kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary()]
-            yield pa.RecordBatch.from_arrays([*kept.columns, *(pa.array(c, t) for c, t in zip(cols, kinds, strict=False))], names=[*keep, *extra])
-
-    return docs.select(*keep, F.col(text)).mapInArrow(run, schema)
+                    made.append((k, at // 4, len(cut) // 4, zlib.crc32(cut), base + number, offset, *([cut] if ids else [])))
+            new = batch.column("row").take(pa.array(row, pa.int64()))
+            held = new if held is None else pa.concat_arrays([held, new])
+            still = {base + number for number in bins.free()}
+            stays = [m[4] in still for m in made]
+            done = [m for m, s in zip(made, stays, strict=True) if not s]
+            yield batch_of(held.filter(pa.array([not s for s in stays], pa.bool_())), done, [False] * len(done))
+            held, made = held.filter(pa.array(stays, pa.bool_())), [m for m, s in zip(made, stays, strict=True) if s]
+        if made:
+            loose = {base + number for number, free in bins.free().items() if free > SPARE * size}
+            yield batch_of(held, made, [m[4] in loose for m in made])
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bins, base = OpenBins(size, AGAIN_BINS), TaskContext.get().partitionId() << 40
+        for batch in batches:
+            where = [bins.place(n) for n in batch.column("length").to_pylist()]
+            place = {"sequence_id": pa.array([-1 - base - n for n, _ in where], pa.int64()), "offset": pa.array([o for _, o in where], pa.int64())}
+            yield pa.RecordBatch.from_arrays([place.get(c, batch.column(c)) for c in batch.schema.names], names=batch.schema.names)
+
+    pieces = stored(rows.mapInArrow(run, schema), "pieces")
+    left = pieces.where("loose")
+    parts = max(1, -(-left.count() // AGAIN_PIECES))
+    packed = left.coalesce(parts).sortWithinPartitions(F.desc("length"), "sequence_id", "offset").mapInArrow(again, schema)
+    out = pieces.where("not loose").unionByName(packed)
+    return out.select(*[F.col(f"row.`{c}`").alias(c) for c in keep.columns], *extra)
 
 
 def packing_digest(docs: DataFrame, vocabulary: str) -> DataFrame:
