@@ -83,19 +83,25 @@ def known_digests(spark: SparkSession, known: list[tuple[str, str]] = KNOWN) ->
 def license_scan(docs: DataFrame, *, known: list[tuple[str, str]] | None = None, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, digest (of the canonical whole text), license_id, notice_ids, n_notice_lines of every row.
 
-    license_id: the known licence that the entire text is, else null. notice_ids:
-    identifiers, sorted and joined by commas, of known texts that an entire line of
-    it is (null if none), looked up by the same digest; n_notice_lines counts these
-    lines. The known texts are a fixed list of the caller's, KNOWN and the package's
-    entire licences if none is given, so their digests are broadcast. Empty and null texts have the digest of '' and no licence; rows with
-    one key share their notices; an empty table gives no rows.
+    license_id: the known licence that the entire text is, else null; entire texts are
+    hash-joined to the known digests. notice_ids: identifiers, sorted and joined by
+    commas, of known texts that an entire line of it is (null if none), looked up by
+    the same digest within the row; n_notice_lines counts these lines. The known texts
+    are a fixed list of the caller's, KNOWN and the package's entire licences if none
+    is given: as many digests are broadcast. Nothing of the documents is shuffled.
+
+    Empty and null texts have the digest of '' and no licence, whatever the key, which
+    may be null or come again: each row is judged by itself. A very long text is
+    handled line by line within its row. Columns other than the key are not carried,
+    whatever their names; an empty table gives no rows.
     """
     found = known_digests(docs.sparkSession, [*KNOWN, *entire_texts()] if known is None else known)
-    body = F.coalesce(F.col(text), F.lit(""))
-    whole = docs.select(F.col(key).alias("_key"), F.sha2(canonical(body), 256).alias("digest")).join(F.broadcast(found), "digest", "left")
-    lines = docs.select(F.col(key).alias("_key"), F.explode(F.split(body, "\n")).alias("_line"))
-    lines = lines.select("_key", F.sha2(canonical(F.col("_line")), 256).alias("digest"))
-    notices = lines.join(F.broadcast(found), "digest").groupBy("_key").agg(F.concat_ws(",", F.array_sort(F.collect_set("license_id"))).alias("notice_ids"), F.count(F.lit(1)).alias("n_notice_lines"))
-    notices = notices.withColumnRenamed("_key", "_of")
-    joined = whole.join(notices, F.col("_key").eqNullSafe(F.col("_of")), "left")
-    return joined.select(F.col("_key").alias(key), "digest", "license_id", "notice_ids", F.coalesce("n_notice_lines", F.lit(0)).cast("long").alias("n_notice_lines"))
+    listed = {r["digest"]: r["license_id"] for r in found.collect()}  # one row of each known text
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    lines = F.transform(F.split("text", "\n"), lambda x: F.sha2(canonical(x), 256))
+    hits = F.filter(lines, lambda x: x.isin(list(listed))) if listed else F.array().cast("array<string>")
+    name = F.create_map(*[F.lit(x) for pair in listed.items() for x in pair]) if listed else F.create_map().cast("map<string, string>")
+    rows = rows.select("key", F.sha2(canonical(F.col("text")), 256).alias("digest"), hits.alias("hits"))
+    names = F.array_sort(F.array_distinct(F.transform("hits", lambda x: F.element_at(name, x))))
+    joined = rows.join(F.broadcast(found), "digest", "left")
+    return joined.select(F.col("key").alias(key), "digest", "license_id", F.nullif(F.concat_ws(",", names), F.lit("")).alias("notice_ids"), F.size("hits").cast("long").alias("n_notice_lines"))
