@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm._common import frozen
+from lexflume.llm._common import frozen, nested
 
 #: Production parameters: weight of a source = its rows to this power; seed of both hashes.
 TEMPERATURE, SEED = 0.7, 17
@@ -20,6 +20,10 @@ def uniform(*parts) -> F.Column:
     return F.conv(F.substring(F.md5(F.concat_ws(":", *parts)), 1, 13), 16, 10).cast("long") / F.lit(float(2**52))
 
 
+def _tagged(source: Column) -> Column:
+    return F.when(source.isNull(), NO_SOURCE).otherwise(F.concat(F.lit(A_SOURCE), source.cast("string")))
+
+
 def mixture(docs: DataFrame, *, source: str = "source", weights: dict[str, float] | None = None, temperature: float = TEMPERATURE, total: int | None = None) -> DataFrame:
     """(_source, rows, rate, cdf): the mean repetitions of each source's documents and their Poisson distribution.
 
@@ -28,8 +32,7 @@ def mixture(docs: DataFrame, *, source: str = "source", weights: dict[str, float
     total: documents aimed at, as many as came by default. cdf reaches so far that the
     rest is below 2^-53, so it cuts nothing that a 52-bit number can tell.
     """
-    tagged = F.when(F.col(source).isNull(), NO_SOURCE).otherwise(F.concat(F.lit(A_SOURCE), F.col(source)))
-    counts = docs.groupBy(tagged.alias("_source")).agg(F.count(F.lit(1)).alias("rows"))
+    counts = docs.groupBy(_tagged(F.col(f"`{source}`")).alias("_source")).agg(F.count(F.lit(1)).alias("rows"))
     if weights is None:
         weight = F.pow(F.col("rows").cast("double"), F.lit(float(temperature)))
         counts = counts.withColumn("weight", weight)
@@ -55,19 +58,20 @@ def mix(docs: DataFrame, *, source: str = "source", key: str = "doc_id", weights
     """docs, each row as often as its draw says, in a globally random order; with copy (from 0) and shuffle_key added.
 
     A row's count is the inverse of its source's Poisson distribution at a number
-    hashed from seed and key, so it depends on nothing else: equal keys (null too)
-    draw alike. Null sources are one source. Rows go to partitions by the hash of
-    shuffle_key, which differs for every copy, and are sorted by it there, so a hot
-    source or key spreads evenly; nothing about texts is computed. The distributions
-    are broadcast if they are small, which is measured. Columns named copy
-    or shuffle_key are replaced; an empty table gives no rows.
+    hashed from seed and key, so it depends on nothing else: equal keys (null too),
+    and so repeated rows, draw alike. Null sources are one source. Rows go to
+    partitions by the hash of shuffle_key, which differs for every copy of a key, and
+    are sorted by it there, so a hot source spreads evenly; nothing about texts is
+    computed, null, empty and very long ones go along as they are. The distributions
+    are broadcast if they are small, which is measured. Columns named copy or
+    shuffle_key are replaced, all others pass whatever their names; an empty table
+    gives no rows.
     """
     docs = docs.drop("copy", "shuffle_key")
     rates = mixture(docs, source=source, weights=weights, temperature=temperature, total=total).select("_source", "cdf")
-    ident = F.coalesce(F.col(key).cast("string"), F.lit("-"))
-    tagged = docs.withColumn("_source", F.when(F.col(source).isNull(), NO_SOURCE).otherwise(F.concat(F.lit(A_SOURCE), F.col(source))))
-    drawn = tagged.withColumn("_u", uniform(F.lit(str(seed)), ident)).join(rates, "_source")
-    drawn = drawn.withColumn("_count", F.expr("size(filter(cdf, c -> c <= _u))")).where("_count > 0")
-    copies = drawn.select(*docs.columns, F.explode(F.sequence(F.lit(0), F.col("_count") - 1)).alias("copy"))
-    keyed = copies.withColumn("shuffle_key", F.md5(F.concat_ws(":", F.lit(str(seed)), ident, F.col("copy"))))
+    ident = F.coalesce(F.col(f"row.`{key}`").cast("string"), F.lit("-"))
+    rows = nested(docs).select("row", _tagged(F.col(f"row.`{source}`")).alias("_source"), uniform(F.lit(str(seed)), ident).alias("u"))
+    drawn = rows.join(rates, "_source").select("row", F.expr("size(filter(cdf, c -> c <= u))").alias("n")).where("n > 0")
+    copies = drawn.select("row", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("copy"))
+    keyed = copies.select("row.*", "copy", F.md5(F.concat_ws(":", F.lit(str(seed)), ident, F.col("copy"))).alias("shuffle_key"))
     return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key")
