@@ -11,10 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm._common import frozen
-
 #: Bound of the training sample (rows), width of the hashed weights, and words whose hash a worker remembers.
 TRAIN_ROWS, WIDTH, MEMO_WORDS = 3000, 1 << 12, 400_000
+#: Words of a stretch in which repetition is measured, so that it doesn't rise with the length of a text.
+STRETCH = 400
 #: A document is rejected if its score, the chance that it is good, is below this.
 MIN_SCORE = 0.25
 BAD, ABSTAIN, GOOD = 0, 1, 2
@@ -34,6 +34,7 @@ def _vote(value: float, good, bad) -> int:
 
 
 def measures(text: bytes, words: list[bytes]) -> list[float]:
+    """Words; symbols a word; capitals a letter; stops a word; share of common words; of repeated lines; of words new in their stretch; bytes a word."""
     n, letters = len(words), len(text) - len(text.translate(None, _LETTERS))
     lines = [x for x in text.split(b"\n") if x.strip()]
     return [
@@ -43,7 +44,7 @@ def measures(text: bytes, words: list[bytes]) -> list[float]:
         _share(len(text) - len(text.translate(None, _STOPS)), n),
         _share(sum(map(COMMON.__contains__, words)), n),
         1 - _share(len(set(lines)), len(lines)) if lines else 0.0,
-        _share(len(set(words)), min(n, 400)),
+        _share(sum(len(set(words[i : i + STRETCH])) for i in range(0, n, STRETCH)), n),
         _share(len(text), n),
     ]
 
@@ -164,6 +165,9 @@ def fit_scorer(x: np.ndarray, good: np.ndarray, rounds: int = 300, rate: float =
     w, b = np.zeros(x.shape[1], np.float32), 0.0
     if not len(x):
         return w, b
+    if good.min() >= 0.5 or good.max() < 0.5:  # one side only: nothing to tell apart, so each score is the mean
+        p = float(np.clip(good.mean(dtype=np.float64), 1e-6, 1 - 1e-6))
+        return w, float(np.log(p / (1 - p)))
     weight = good / max(good.sum(), 1e-9) + (1 - good) / max((1 - good).sum(), 1e-9)
     weight = (weight / weight.sum()).astype(np.float32)
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
@@ -185,43 +189,61 @@ class QualityModel:
 
 
 def fraction(h: Column) -> Column:
-    """A hash of 64 bits as a number from 0 below 2^63, its lowest 20 bits first."""
-    return F.shiftleft(F.pmod(h, F.lit(1 << 20)), 43).bitwiseOR(F.shiftrightunsigned(h, 21))
+    """A hash of 64 bits as a number from 0 below 2^63."""
+    return F.shiftrightunsigned(h, 1)
 
 
 def cutoff(total: int, train_rows: int) -> int:
-    """Below this lie about train_rows of the fractions of so many rows, all if there are fewer rows."""
-    return min((train_rows << 63) // max(total, train_rows, 1), (1 << 63) - 1)
+    """Below this lie about twice train_rows of the fractions of so many hashes, all if there are fewer."""
+    return min((2 * train_rows << 63) // max(total, 2 * train_rows, 1), (1 << 63) - 1)
+
+
+def train_sample(docs: DataFrame, *, text: str = "text", key: str = "doc_id", train_rows: int = TRAIN_ROWS) -> DataFrame:
+    """The texts of the train_rows distinct (key, text) of smallest hash, or of all if there are fewer.
+
+    A threshold from the approximate number of distinct rows first leaves about twice
+    as many, so that the sort sees a few thousand rows of any corpus; rows that repeat
+    whole are one and collapse before the shuffle.
+    """
+    rows = docs.select(fraction(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`"))).alias("h"), F.col(f"`{text}`").alias("text"))
+    many = rows.agg(F.approx_count_distinct("h", 0.05)).first()[0]
+    some = rows.where(F.col("h") <= cutoff(many, train_rows)).groupBy("h").agg(F.first("text").alias("text"))
+    return some.orderBy("h").limit(train_rows)
 
 
 def fit(docs: DataFrame, *, text: str = "text", key: str = "doc_id", train_rows: int = TRAIN_ROWS) -> QualityModel:
     """Label model from the vote patterns of all rows (at most 3^7 counts reach the driver), scorer from a bounded sample.
 
-    The sample is what a hash of key and text picks, about train_rows rows of any
-    corpus; it is the only part that doesn't see every row.
+    The sample, train_rows rows at most, is the only part that doesn't see every row.
+    Where all of it is on one side of the label model, each score is the mean posterior.
     """
-    picked = fraction(F.xxhash64(F.col(key), F.col(text))) < cutoff(docs.count(), train_rows)
-    rows = docs.select(picked.alias("picked"), F.col(text).alias("text"))
 
     def cast(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [pattern(votes(measures(x, x.split()))) for x in _bodies(batch.column("text"))]
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32())], names=["pattern"])
+
+    def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Hashed()
         for batch in batches:
             found, at, value = [], [], []
-            for pick, x in zip(batch.column("picked"), batch.column("text").cast(pa.binary()), strict=True):
-                body = x.as_py() or b""
+            for body in _bodies(batch.column("text")):
                 found.append(pattern(votes(measures(body, body.split()))))
-                i, v = vector(body, hashed) if pick.as_py() else (None, None)
+                i, v = vector(body, hashed)
                 at.append(i)
                 value.append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], names=["pattern", "at", "value"])
+            yield pa.RecordBatch.from_arrays([batch.column("h"), pa.array(found, pa.int32()), pa.array(at, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], names=["h", "pattern", "at", "value"])
 
-    seen = frozen(rows.mapInArrow(cast, "pattern int, at array<int>, value array<float>"))
-    patterns = seen.groupBy("pattern").count().collect()
+    bodies = docs.select(F.col(f"`{text}`").alias("text"))
+    patterns = bodies.mapInArrow(cast, "pattern int").groupBy("pattern").count().collect()
     codes = np.array([r["pattern"] for r in patterns], np.int64)
     casts = np.stack([codes // 3**k % 3 for k in range(N_LABELLERS)], 1) if len(codes) else np.zeros((0, N_LABELLERS), np.int64)
     labels = fit_labels(casts, np.array([r["count"] for r in patterns], float))
     posterior = dict(zip(codes.tolist(), labels.posterior(casts).tolist(), strict=True)) if len(codes) else {}
-    sample = seen.where("at is not null").orderBy("pattern", "at").collect()
+    sample = train_sample(docs, text=text, key=key, train_rows=train_rows).mapInArrow(features, "h long, pattern int, at array<int>, value array<float>").collect()
+    if posterior and not sample:
+        raise ValueError("no row to train on")
+    sample.sort(key=lambda r: r["h"])
     x, good = np.zeros((len(sample), WIDTH), np.float32), np.array([posterior[r["pattern"]] for r in sample], np.float32)
     for k, r in enumerate(sample):
         x[k, r["at"]] = r["value"]
@@ -229,24 +251,28 @@ def fit(docs: DataFrame, *, text: str = "text", key: str = "doc_id", train_rows:
     return QualityModel(labels, weights, bias)
 
 
+def _bodies(column: pa.Array) -> Iterator[bytes]:
+    return (x.as_py() or b"" for x in column.cast(pa.binary()))
+
+
 def classify(docs: DataFrame, model: QualityModel, *, text: str = "text", min_score: float = MIN_SCORE) -> DataFrame:
     """docs with posterior (of the label model), score (of the scorer) and kept (score >= min_score) added.
 
-    A null text counts as empty. Columns named like the results are replaced; all
-    other columns, repeated rows and null keys pass through. A narrow map: nothing is
-    shuffled, and the model that goes along has a fixed size.
+    A null text counts as empty; texts below VOTING_WORDS words have no votes, so the
+    label model's prior. A very long text is split into words in a worker's memory, one
+    text at a time. Columns named like the results are replaced; all other columns,
+    whatever their names, repeated rows and null keys pass through. A narrow map:
+    nothing is shuffled, and the model that goes along has a fixed size.
     """
     names = ("posterior", "score", "kept")
-    keep = [c for c in docs.columns if c not in names]
-    schema = docs.select(keep).schema.add("posterior", "double").add("score", "double").add("kept", "boolean")
+    schema = docs.drop(*names).schema.add("posterior", "double").add("score", "double").add("kept", "boolean")
     weights, bias, labels = [float(x) for x in model.weights], float(model.bias), model.labels
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed, memo, known = Hashed(), {}, {}
         for batch in batches:
             out = []
-            for x in batch.column(text).cast(pa.binary()):
-                body = x.as_py() or b""
+            for body in _bodies(batch.column(text)):
                 words = body.split()
                 try:
                     total = sum(map(memo.__getitem__, words))
@@ -270,7 +296,7 @@ def classify(docs: DataFrame, model: QualityModel, *, text: str = "text", min_sc
             cols = [pa.array([a for a, _ in out], pa.float64()), pa.array([b for _, b in out], pa.float64()), pa.array([bool(b >= min_score) for _, b in out], pa.bool_())]
             yield pa.RecordBatch.from_arrays([*batch.columns, *cols], names=[*batch.schema.names, *names])
 
-    return docs.select(keep).mapInArrow(score, schema)
+    return docs.drop(*names).mapInArrow(score, schema)
 
 
 def quality_classifier(docs: DataFrame, *, text: str = "text", key: str = "doc_id", train_rows: int = TRAIN_ROWS, min_score: float = MIN_SCORE) -> DataFrame:
