@@ -20,7 +20,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def text_or_empty(name: str = "text") -> Column:
-    return F.coalesce(F.col(name), F.lit(""))
+    return F.coalesce(F.col(f"`{name}`"), F.lit(""))
 
 
 def columns_of(df: DataFrame) -> list[Column]:

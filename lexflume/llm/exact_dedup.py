@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexflume.llm._common import WS, compact, frozen, text_or_empty, tidy
+from lexflume.llm._common import WS, compact, frozen, nested, text_or_empty, tidy
 
 #: Bytes that the first pass splits on, and by how much each later pass takes more.
 FIRST_BYTES, WIDER = 128, 16
@@ -54,7 +54,9 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
 
     Of equal texts the row with the most code points stays, then the smallest key; a
     null key comes last, and of rows equal in both the first one read. Empty and null
-    texts equal each other. An empty table gives no rows.
+    texts equal each other; very long texts are split like others, a run of bytes at a
+    time. Columns other than the key are not carried, whatever their names. An empty
+    table gives no rows.
     """
     rows = exact_groups(docs, text=text, key=key)
     order = F.struct((-F.col("n_codepoints")).alias("c"), F.col(key).isNull().alias("z"), F.col(key).alias("k"), F.col("_row").alias("r"))
@@ -64,16 +66,24 @@ def exact_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id") ->
 
 
 def drop_exact_copies(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs with one row of each group of equal texts, all columns as they came.
+    """docs with one row of each group of equal texts, the one that exact_dedup keeps, with all columns whatever their names.
 
-    Rows that stay are found again by key and digest; rows equal in both are copies
-    of each other and one of them stays.
+    Rows are told apart by key and text; of rows equal in both, any one stays. Only
+    rows of groups of two and more are looked up again, by key and a hash of the text.
+    Null and empty texts are one group; an empty table gives no rows.
     """
-    digest = F.sha2(F.regexp_replace(text_or_empty(text), f"{WS}+", "").cast("binary"), 256)
-    kept = exact_dedup(docs.select(key, text), text=text, key=key).where("kept").select(F.col(key).alias("_kept_key"), F.col("text_sha256").alias("_kept_sha"))
-    tagged = docs.withColumn("_sha", digest)
-    met = tagged.join(kept, (F.col("_sha") == F.col("_kept_sha")) & F.col(key).eqNullSafe(F.col("_kept_key")), "left_semi")
-    return met.dropDuplicates([key, "_sha"]).drop("_sha")
+    def ident(k: str, t: str) -> Column:
+        return F.struct(F.col(k).isNull().alias("none"), F.col(k).alias("key"), F.xxhash64(F.coalesce(F.col(t), F.lit(""))).alias("tag")).alias("id")
+
+    told = exact_dedup(docs.select(ident(f"`{key}`", f"`{text}`"), F.col(f"`{text}`").alias("text")), text="text", key="id").where("group_size > 1")
+    told = frozen(told.groupBy("id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")).where("not kept or n > 1").select(F.col("id").alias("of"), "kept"))
+    rows = nested(docs).select("row", ident(f"row.`{key}`", f"row.`{text}`"))
+    same = F.expr("id.key <=> of.key and id.tag = of.tag")
+    alone = rows.join(told, same, "left_anti").select("row.*")
+    repeated = told.where("kept")
+    if repeated.isEmpty():
+        return alone
+    return alone.unionByName(rows.join(repeated, same, "left_semi").groupBy("id").agg(F.first("row").alias("row")).select("row.*"))
 
 
 def exact_digest(docs: DataFrame) -> DataFrame:

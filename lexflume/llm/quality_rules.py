@@ -33,7 +33,7 @@ def features(docs: DataFrame, *, text: str = "text", lang: str = "lang", key: st
     """
     listed = "case " + " ".join(f"when lang = '{k}' then array({', '.join(f"'{w}'" for w in v)})" for k, v in COMMON_WORDS.items()) + " end"
     every = ", ".join(sorted({f"'{w}'" for v in COMMON_WORDS.values() for w in v}))
-    d = docs.select(F.col(key).alias("doc_id"), F.col(lang).alias("lang"), text_or_empty(text).alias("t"))
+    d = docs.select(F.col(f"`{key}`").alias("doc_id"), F.col(f"`{lang}`").alias("lang"), text_or_empty(text).alias("t"))
     d = d.withColumn("words", F.array_remove(F.split("t", f"{WS}+"), ""))
     d = d.withColumn("lines", F.expr(r"filter(split(t, '\n'), x -> x rlike '[^\\x20\\x09-\\x0D]')"))
     d = d.withColumn("n", F.size("words")).withColumn("h", F.expr("if(n < 3, array(), transform(sequence(0, n - 3), i -> xxhash64(words[i], words[i + 1], words[i + 2])))"))
@@ -90,8 +90,10 @@ def quality_rules(docs: DataFrame, *, text: str = "text", lang: str = "lang", ke
     twice or more. Otherwise a row is kept unless a distance to its language's
     reference is above its limit. Texts shorter than min_chars or min_words, and
     languages without a word list (null too), are not judged on that histogram.
-    References are sums over all rows. Null and empty texts fail the base rules;
-    repeated rows are judged alike; an empty table gives no rows.
+    References are sums over all rows. Null and empty texts fail the base rules; rows
+    with a null or repeated key are judged each by itself, repeated rows alike. A very
+    long text is one row's arrays of words and lines. Columns other than the key are not
+    carried, whatever their names; an empty table gives no rows.
     """
     measured = frozen(features(docs, text=text, lang=lang, key=key))
     judged = measured.join(references(measured), "lang", "left")
