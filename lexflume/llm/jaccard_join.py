@@ -1,9 +1,9 @@
 """N-gram Jaccard self-join: grouped prefix join, exact, without listing all pairs of a large group.
 
-1. A sketch of fixed size counts, over all documents, how often shingles fall in each
-   of 2^20 cells. The order of shingles, rare cells first, is taken from it; any order
-   gives the same result, this one keeps passages that many documents share out of
-   the prefixes.
+1. A sketch counts, over all documents, how often shingles fall in each of its cells,
+   2^20 of them, and more for a larger corpus, up to 2^24. The order of shingles, rare
+   cells first, is taken from it; any order gives the same result, this one keeps
+   passages that many documents share out of the prefixes.
 2. Documents of identical size and prefix are one group; identical sets are one node.
    Groups meet in buckets of prefix shingles. Groups that share a shingle which few
    have are paired if sizes and positions allow the overlap; in a crowded shingle each
@@ -25,11 +25,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
-from lexflume.llm._common import compact, components, frozen, tidy
+from lexflume.llm._common import compact, components, frozen, nested, tidy
 from lexflume.llm.shingles import WORDS, all_sets, mixed
 
-#: Cells of the sketch (a power of two) and how many lie in one row while it is summed.
-CELLS, SLICE = 1 << 20, 1 << 12
+#: Least and most bits of a cell's number, numbers to a cell that more bits are taken for, and cells in one row while they are summed.
+CELL_BITS, PER_CELL, SLICE = (20, 24), 64, 1 << 12
 #: Groups in a shingle up to which all its pairs are listed at once; neighbours and hubs that each meets first beyond.
 FEW, NEIGHBOURS, HUBS = 32, 12, 12
 #: Partners that each node is verified against in each of the rounds that merge components first.
@@ -50,8 +50,18 @@ def prefix_length(n: int) -> int:
 # ---------------------------------------------------------------- the sketch
 
 
-def _summed(parts: DataFrame) -> np.ndarray:
-    """The sums of CELLS counters from rows (slice, counts); every slice is summed as it streams by, and only sums travel on."""
+def cell_bits(n: int, per_cell: int = PER_CELL) -> int:
+    """So many bits that about per_cell of n numbers fall in a cell, within CELL_BITS."""
+    return int(min(max((max(n, 1) // per_cell).bit_length() - 1, CELL_BITS[0]), CELL_BITS[1]))
+
+
+def cell_of(x: np.ndarray, cells: np.ndarray) -> np.ndarray:
+    """What the cells, a power of two of them, say of hashes."""
+    return cells[(x >> np.uint64(65 - len(cells).bit_length())).astype(np.int64)]
+
+
+def _summed(parts: DataFrame, bits: int) -> np.ndarray:
+    """The sums of 2^bits counters from rows (slice, counts); every slice is summed as it streams by, and only sums travel on."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
@@ -64,24 +74,24 @@ def _summed(parts: DataFrame) -> np.ndarray:
         steps = [np.minimum(255, np.ceil(8 * np.log2(1 + total[k]))).astype(np.uint8).tobytes() for k in keys]
         yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(steps, pa.binary())], names=["slice", "counts"])
 
-    out = np.zeros(CELLS, np.uint8)
-    for r in parts.repartition("slice").mapInArrow(add, "slice int, counts binary").collect():  # CELLS bytes, always
+    out = np.zeros(1 << bits, np.uint8)
+    for r in parts.repartition("slice").mapInArrow(add, "slice int, counts binary").collect():  # a byte a cell, 16 MB at most
         out[r["slice"] * SLICE : (r["slice"] + 1) * SLICE] = np.frombuffer(r["counts"], np.uint8)
     return out
 
 
-def _count_cells(batches: Iterator[pa.RecordBatch], hashes) -> Iterator[pa.RecordBatch]:
-    counts, held, n = np.zeros(CELLS, np.int32), [], 0
+def _count_cells(batches: Iterator[pa.RecordBatch], hashes, bits: int) -> Iterator[pa.RecordBatch]:
+    counts, held, n, shift = np.zeros(1 << bits, np.int32), [], 0, np.uint64(64 - bits)
     for batch in batches:
         for h in hashes(batch):
-            held.append((h >> np.uint64(44)).astype(np.int32))
+            held.append((h >> shift).astype(np.int32))
             n += len(h)
             if n > 500_000:
-                counts += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.int32)
+                counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.int32)
                 held, n = [], 0
     if held:
-        counts += np.bincount(np.concatenate(held), minlength=CELLS).astype(np.int32)
-    used = [k for k in range(CELLS // SLICE) if counts[k * SLICE : (k + 1) * SLICE].any()]
+        counts += np.bincount(np.concatenate(held), minlength=len(counts)).astype(np.int32)
+    used = [k for k in range(len(counts) // SLICE) if counts[k * SLICE : (k + 1) * SLICE].any()]
     yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([counts[k * SLICE : (k + 1) * SLICE].tobytes() for k in used], pa.binary())], names=["slice", "counts"])
 
 
@@ -90,17 +100,19 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
 
 
 def shingle_cells(docs: DataFrame) -> np.ndarray:
-    """In steps of a logarithm, how many documents have a shingle in each cell."""
-    return _summed(docs.select("_text").mapInArrow(lambda it: _count_cells(it, lambda b: all_sets(_texts(b))), "slice int, counts binary"))
+    """In steps of a logarithm, how many documents have a shingle in each cell; about one shingle to six bytes is reckoned with."""
+    bits = cell_bits((docs.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // 6)
+    return _summed(docs.select("_text").mapInArrow(lambda it: _count_cells(it, lambda b: all_sets(_texts(b)), bits), "slice int, counts binary"), bits)
 
 
-def id_cells(ids: DataFrame, name: str) -> np.ndarray:
-    """The cells in which any of the ids falls."""
+def id_cells(ids: DataFrame, name: str, n: int) -> np.ndarray:
+    """The cells in which any of the n ids falls."""
+    bits = cell_bits(n, 1)
 
     def hashes(batch: pa.RecordBatch) -> list[np.ndarray]:
         return [mixed(batch.column(name).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))]
 
-    return _summed(ids.select(name).mapInArrow(lambda it: _count_cells(it, hashes), "slice int, counts binary")) > 0
+    return _summed(ids.select(name).mapInArrow(lambda it: _count_cells(it, hashes, bits), "slice int, counts binary"), bits) > 0
 
 
 # ---------------------------------------------------------------- documents
@@ -108,7 +120,7 @@ def id_cells(ids: DataFrame, name: str) -> np.ndarray:
 
 def ordered(s: np.ndarray, steps: np.ndarray) -> np.ndarray:
     """The set in the global order: step of its cell, then hash."""
-    key = (steps[(s >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (s & np.uint64((1 << 56) - 1))
+    key = (cell_of(s, steps).astype(np.uint64) << np.uint64(56)) | (s & np.uint64((1 << 56) - 1))
     key.sort()
     return key
 
@@ -270,16 +282,16 @@ def near_enough(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
 def sets_of(needed: DataFrame, docs: DataFrame) -> DataFrame:
     """(node, shingles) of the nodes in needed.
 
-    Sets are built only for these: a map of fixed size of the cells of their ids
+    Sets are built only for these: a map of bounded size of the cells of their ids
     keeps most others from being hashed, an exact join the rest.
     """
-    cells = docs.sparkSession.sparkContext.broadcast(id_cells(needed, "node"))
+    cells = docs.sparkSession.sparkContext.broadcast(id_cells(needed, "node", needed.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hit = cells.value
         for batch in batches:
             ids = mixed(batch.column("_key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-            batch = batch.filter(pa.array(hit[(ids >> np.uint64(44)).astype(np.int64)]))
+            batch = batch.filter(pa.array(cell_of(ids, hit)))
             yield pa.RecordBatch.from_arrays([batch.column("_key"), pa.array([s.tobytes() for s in all_sets(_texts(batch))], pa.binary())], names=["node", "shingles"])
 
     sets = docs.where("_key is not null").mapInArrow(run, "node long, shingles binary")
@@ -340,7 +352,7 @@ def jaccard_links(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -
     The links are a subset that spans every component, not all of them: pairs that
     others have joined already are never looked at.
     """
-    docs = docs.select(F.col(key).cast("long").alias("_key"), F.col(text).alias("_text"))
+    docs = docs.select(F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"))
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(shingle_cells(docs))
     known = compact(facts(docs, shared))
@@ -395,18 +407,27 @@ def similar_documents(docs: DataFrame, *, text: str = "text", key: str = "doc_id
     distinct five-word shingles, or the whole sequence if there are fewer words. Two
     rows link if 100 * intersection >= 75 * union; component_id is the smallest key
     reachable by links. Rows without words (null and empty texts) have 0 shingles
-    and link with nothing. Rows with one key are one document, linked if any of them
-    is; rows whose key is null link with nothing and have no component. An empty
-    table gives no rows. Other columns are not carried.
+    and link with nothing. key: whole numbers. Rows with one key are one document,
+    linked if any of their texts is; rows whose key is null link with nothing and have
+    no component; rows that repeat whole are judged alike. A very long text is hashed
+    in parts. Other columns are not carried, whatever their names. An empty table gives
+    no rows.
     """
     known, node, links = jaccard_links(docs, text=text, key=key)
     labels = components(links)
     of_set = node.join(labels, "node", "left").select("s1", "s2", F.coalesce("component", "node").alias("component"))
     joined = known.select("_key", "n", "s1", "s2").join(of_set, ["s1", "s2"], "left")
-    return joined.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("_key").isNotNull(), F.col("component")).otherwise(F.col("_key")).alias("component_id"))
+    label = F.when((F.col("n") > 0) & F.col("_key").isNotNull(), F.col("component")).otherwise(F.col("_key"))
+    return joined.select(F.col("_key").alias(key), F.col("n").alias("n_shingles"), label.alias("component_id"))
 
 
 def drop_similar(docs: DataFrame, *, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """docs without the rows that are linked with a smaller key; one document of each component stays, with all its columns."""
-    gone = similar_documents(docs, text=text, key=key).where(F.col("component_id") < F.col(key)).select(key).distinct()
-    return docs.join(gone, key, "left_anti")
+    """docs without the rows that are linked with a smaller key, with all columns whatever their names.
+
+    One document, the one of the smallest key, stays of each component, with all of
+    its rows. Rows with a null key, and those without words, stay as they are; an
+    empty table gives no rows.
+    """
+    gone = similar_documents(docs, text=text, key=key).where(F.col("component_id") < F.col(f"`{key}`")).select(F.col(f"`{key}`").alias("key")).distinct()
+    rows = nested(docs).select("row", F.col(f"row.`{key}`").cast("long").alias("key"))
+    return rows.join(gone, "key", "left_anti").select("row.*")
