@@ -50,3 +50,29 @@ def test_run_and_registration(spark):
     names = __spark_entry__.queries()
     assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", n)[0] for n in names if n.startswith("op")}
     assert names["pipeline"](spark, SF).count() > 0
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, score string, copy string, kept int, `row` string, key string, `id` string, cdf string"
+
+
+def test_stages_take_odd_rows_and_clashing_columns(spark):
+    say = lambda tag, n=60: " ".join(f"{tag}{i}" for i in range(n))
+    texts = [(1, None), (2, ""), (3, "  "), (4, say("a")), (4, say("a")), (4, say("b")), (None, say("a")), (None, say("c")), (5, say("a") + " more"), (6, say("long", 40000)), (7, say("A").upper()), (8, say("d") + " " + say("d"))]
+    rows = [(k, t, "en", None if i % 3 else "s", None, f"s{i}", f"c{i}", i, f"r{i}", f"k{i}", f"i{i}", "f") for i, (k, t) in enumerate(texts)]
+    df = spark.createDataFrame(rows, ODD)
+    by = {r[5]: r for r in rows}
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, df, SF)
+        assert got.columns == df.columns, name
+        out = [tuple(r) for r in got.collect()]
+        assert all(by[r[5]] == r for r in out), name
+        assert name == "mixing sources" or len({r[5] for r in out}) == len(out)
+        kept = sorted(r[5] for r in out)
+        if name == "exact dedup":
+            assert sorted((r[0] or 0, (r[1] or "").strip()[:3]) for r in out) == [(0, "c0 "), (3, ""), (4, "a0 "), (4, "b0 "), (5, "a0 "), (6, "lon"), (7, "A0 "), (8, "d0 ")], kept
+        if name == "n-gram jaccard join":
+            assert kept == sorted(["s0", "s1", "s2", "s3", "s4", "s5", "s6", "s7", "s9", "s11"])
+        assert stage(spark, df.limit(0), SF).count() == 0
+    packed = corpus_pipeline.STAGES[4][1](spark, df, SF).collect()
+    assert Counter(r["doc_id"] for r in packed if r["piece"] == 0) == Counter(k for k, _ in texts)
+    assert corpus_pipeline.STAGES[4][1](spark, df.limit(0), SF).count() == 0

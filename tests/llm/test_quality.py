@@ -78,14 +78,102 @@ def test_classifier_on_held_out_labels(spark):
     assert scored[scored.quality == 1].kept.mean() > 0.985 and scored[scored.quality == 0].kept.mean() < 0.35
 
 
-def test_share_of_very_large_tables_is_not_zero(spark):
-    assert Q.cutoff(4 * 10**9, 3000) * 4 * 10**9 == pytest.approx(3000 * 2**63, rel=1e-6) and Q.cutoff(10**14, 3000) > 0
-    assert Q.cutoff(10, 3000) == Q.cutoff(3000, 3000) == 2**63 - 1 and Q.cutoff(0, 3000) > 0
-    x = spark.range(200_000).select(Q.fraction(F.xxhash64("id")).alias("x"))
-    low = x.agg(F.min("x"), F.max("x"), F.count_if(F.col("x") < Q.cutoff(200_000, 3000))).first()
-    assert 0 <= low[0] and low[1] < 2**63 and abs(low[2] - 3000) < 300
-    # Fine enough: among those that 20 bits can't tell from 0, the rest still spreads.
-    assert spark.sql("select shiftleft(xxhash64(id), 20) as h from range(1000)").select(Q.fraction(F.col("h")).alias("x")).distinct().count() == 1000
+def test_sample_is_bounded_and_not_empty_at_any_size(spark):
+    assert Q.cutoff(4 * 10**9, 3000) * 4 * 10**9 == pytest.approx(6000 * 2**63, rel=1e-6) and Q.cutoff(10**14, 3000) > 0
+    assert Q.cutoff(10, 3000) == Q.cutoff(6000, 3000) == 2**63 - 1 and Q.cutoff(0, 3000) > 0
+    many = spark.range(100_000).select("id", F.lit("t").alias("text"))
+    assert Q.train_sample(many, key="id", train_rows=500).count() == 500
+    same = spark.range(100_000).select(F.lit(None).cast("long").alias("id"), F.concat(F.lit("t"), (F.col("id") % 7).cast("string")).alias("text"))
+    assert sorted(r["text"] for r in Q.train_sample(same, key="id", train_rows=500).collect()) == [f"t{i}" for i in range(7)]
+    one = [r["text"] for r in Q.train_sample(many.withColumn("text", F.col("id").cast("string")).repartition(7), key="id", train_rows=50).collect()]
+    assert one == [r["text"] for r in Q.train_sample(many.withColumn("text", F.col("id").cast("string")).repartition(2), key="id", train_rows=50).collect()]
+
+
+def test_repetition_does_not_depend_on_length():
+    words = [b"w%d" % i for i in range(200)]
+    few, many = (Q.measures(b" ".join(words[:k] * n), words[:k] * n)[6] for k, n in ((20, 20), (20, 500)))
+    assert few == many == 0.05 and Q.votes(Q.measures(b" ".join(words[:20] * 500), words[:20] * 500))[5] == Q.BAD
+    assert Q.measures(b"", words * 50)[6] == 0.5
+
+
+def test_one_sided_samples_score_their_mean():
+    w, b = Q.fit_scorer(np.ones((4, 3), np.float32), np.array([0.9, 0.8, 0.9, 0.8], np.float32))
+    assert not w.any() and 1 / (1 + math.exp(-b)) == pytest.approx(0.85)
+
+
+def plain_classifier(rows):
+    """The classifier done plainly: one document after the other, dense vectors, EM over documents."""
+    import zlib
+
+    def measured(t):
+        words = t.split()
+        n, lines = len(words), [x for x in t.split(b"\n") if x.split()]
+        letters = sum(65 <= c <= 90 or 97 <= c <= 122 for c in t)
+        fresh = sum(w not in words[k - k % 400 : k] for k, w in enumerate(words))
+        div = lambda a, b: a / b if b else 0.0
+        return n, div(sum(c in b"#*$%&|<>" for c in t), n), div(sum(65 <= c <= 90 for c in t), letters), div(sum(c in b".!?" for c in t), n), div(sum(w in Q.COMMON for w in words), n), div(len(lines) - len(set(lines)), len(lines)), div(fresh, n), div(len(t), n)
+
+    def cast(m):
+        n, symbols, upper, stops, common, again, fresh, size = m
+        if n < 20:
+            return (1,) * 7
+        good = (symbols < 0.05, upper < 0.15, 0.01 < stops < 0.35, common > 0.15, again < 0.1, fresh > 0.45, 4 < size < 11)
+        bad = (symbols > 0.2, upper > 0.4, stops > 0.7, common < 0.08, again > 0.3, fresh < 0.25, size > 30)
+        return tuple(2 if g else 0 if b else 1 for g, b in zip(good, bad, strict=True))
+
+    texts = [(t or "").encode() for t in rows]
+    found = [measured(t) for t in texts]
+    votes = [cast(m) for m in found]
+    belief = [1 / (1 + math.exp(2 * v.count(0) - 3)) for v in votes]
+    for _ in range(200):
+        prior = min(max(sum(belief) / len(belief), 0.01), 0.99)
+        rate = [[(1 + sum(w for v, w in zip(votes, side, strict=True) if v[k] == 2)) / (2 + sum(w for v, w in zip(votes, side, strict=True) if v[k] != 1)) for side in ([1 - b for b in belief], belief)] for k in range(7)]
+        new = []
+        for v in votes:
+            odds = math.log(prior / (1 - prior))
+            for k, x in enumerate(v):
+                if x != 1:
+                    p = [r if x == 2 else 1 - r for r in rate[k]]
+                    odds += math.log(p[1] / p[0])
+            new.append(1 / (1 + math.exp(-odds)))
+        moved, belief = max(abs(a - b) for a, b in zip(new, belief, strict=True)), new
+        if moved < 1e-6:
+            break
+
+    def signs(word):
+        kind = ["A" if 65 <= c <= 90 else "a" if c >= 128 or 97 <= c <= 122 else "0" if 48 <= c <= 57 else chr(c) for c in word]
+        return "".join(c for k, c in enumerate(kind) if not k or kind[k - 1] != c).encode("latin1")
+
+    def dense(t, m):
+        x = np.zeros(4096)
+        for w in t.split():
+            x[zlib.crc32(b"w" + w.lower()) % 4096] += 1 / m[0]
+            x[zlib.crc32(b"s" + signs(w)) % 4096] += 1 / m[0]
+        steps = [min(int(math.log2(m[0] + 1)), 20), *(min(int(v * 20), 40) for v in m[1:7]), min(int(m[7]), 40)]
+        for k, s in enumerate(steps):
+            x[zlib.crc32(f"m{k}:{s}".encode()) % 4096] += 0.25
+        return x
+
+    x, y = np.array([dense(t, m) for t, m in zip(texts, found, strict=True)]), np.array(belief)
+    weight = y / y.sum() + (1 - y) / (1 - y).sum()
+    weight /= weight.sum()
+    w, b, first, second = np.zeros(4096), 0.0, np.zeros(4097), np.zeros(4097)
+    for t in range(1, 301):
+        e = weight * (1 / (1 + np.exp(-(x @ w + b))) - y)
+        g = np.append(x.T @ e + 1e-5 * w, e.sum())
+        first, second = 0.9 * first + 0.1 * g, 0.99 * second + 0.01 * g**2
+        step = 0.1 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    return belief, list(1 / (1 + np.exp(-(x @ w + b))))
+
+
+def test_classifier_against_a_plain_one(spark, odd_texts):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").dropDuplicates(["text"]).orderBy("doc_id").limit(120).collect()
+    texts = dict(enumerate(dict.fromkeys([*(r["text"] for r in docs), *odd_texts])))
+    belief, score = plain_classifier(list(texts.values()))
+    got = {r["doc_id"]: r for r in Q.quality_classifier(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)).collect()}
+    assert all(abs(got[i]["posterior"] - belief[i]) < 1e-4 and abs(got[i]["score"] - score[i]) < 0.02 for i in texts)
+    assert all(got[i]["kept"] == (score[i] >= 0.25) for i in texts if abs(score[i] - 0.25) > 0.03) and 0 < sum(r["kept"] for r in got.values()) < len(texts)
 
 
 def test_classifier_takes_odd_rows(spark, table, odd_texts):
@@ -134,6 +222,20 @@ def test_licences_by_canonical_text(spark, table):
     assert L.license_scan(table([])).count() == 0
 
 
+def test_licences_of_repeated_rows_and_null_keys(spark):
+    note = "Released under the MIT License."
+    df = spark.createDataFrame([(1, note + "\nx", "a"), (1, note + "\nx", "b"), (None, note + "\nx", "c"), (None, "x", "d"), (None, None, "e")], "doc_id long, text string, digest string")
+    got = [(r["doc_id"], r["notice_ids"], r["n_notice_lines"]) for r in L.license_scan(df).collect()]
+    assert sorted(got, key=repr) == sorted([(1, "MIT", 1), (1, "MIT", 1), (None, "MIT", 1), (None, None, 0), (None, None, 0)], key=repr)
+    assert {r["license_id"] for r in L.license_scan(df, known=[]).collect()} == {None}
+
+
+def test_mixing_keeps_columns_of_any_name(spark):
+    df = spark.createDataFrame([(i, None, "s", i, "u", 1, "old") for i in range(40)], "doc_id long, text string, source string, cdf int, u string, _source int, copy string").withColumns({"_u": F.lit(1), "_count": F.lit(2), "n": F.lit(3), "row": F.lit("r"), "a.b": F.lit(4)})
+    rows = M.mix(df, total=200).collect()
+    assert abs(len(rows) - 200) < 80 and all(r["cdf"] == r["doc_id"] and (r["u"], r["_source"], r["n"], r["row"], r["a.b"]) == ("u", 1, 3, "r", 4) for r in rows) and {r["copy"] for r in rows} >= {0, 1, 2}
+
+
 def test_entire_licences(spark, table):
     whole = {k: open(f"/usr/share/common-licenses/{f}").read() for k, f in {"Apache-2.0": "Apache-2.0", "GPL-2.0-only": "GPL-2", "GPL-3.0-only": "GPL-3", "LGPL-2.1-only": "LGPL-2.1", "LGPL-3.0-only": "LGPL-3", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}.items()}
     texts = [*whole.values(), whole["Apache-2.0"].partition("END OF TERMS")[0].upper(), whole["MPL-2.0"] + " And more.", whole["MPL-2.0"][:-400]]
