@@ -13,12 +13,12 @@
    and their suffixes sorted by linear grouping (suffix_order): suffixes that agree in
    50 bytes are neighbours in the order, and the smallest document among them keeps its
    bytes. An anchor with more than CROWDED classes, in a task or in its bucket, is
-   split into its windows, which meet by their own hash as in step 2; so no bucket
-   gets more than CROWDED classes of an anchor from a task.
+   split into its windows, which meet by their own hash as in step 2; so a bucket gets
+   a bounded number of classes of an anchor from a task (ASIDE times CROWDED).
 4. What is covered is cut from the rows. A row is its key and the hash of its text.
 
-Classes and windows are equal if two hashes of 64 bits are: that of the anchor (or of
-the window) and one that is made with other multipliers.
+Classes of one anchor are equal if a hash of 64 bits is, windows anywhere if two are
+that are made with different multipliers.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexflume.llm._common import stored
-from lexflume.llm.jaccard_join import id_cells
+from lexflume.llm.jaccard_join import cell_of, id_cells
 from lexflume.llm.shingles import mixed, slabs
 from lexflume.llm.suffix_order import suffix_order
 
@@ -44,6 +44,8 @@ ANCHORS = LENGTH - ANCHOR + 1
 REACH = (LENGTH - ANCHOR + 1) // 2
 #: Entries that a bucket is meant to hold; entries after which a task passes on what it has; classes of an anchor beyond which it is crowded.
 BUCKET_ROWS, FLUSH_ROWS, CROWDED = 300_000, 500_000, 48
+#: How many times more it takes in a task, which can't know yet which of them may share windows.
+ASIDE = 16
 #: Bytes of short texts whose suffixes are sorted in step.
 SORTED_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
@@ -92,8 +94,7 @@ def stretches(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     if len(data) < LENGTH:
         return np.zeros(0, ENTRY), np.zeros(len(texts), np.int64)
     side = ANCHOR + REACH
-    anchor, reach = rolled(data, (ANCHOR, side))
-    (window,) = rolled(data, (LENGTH,), _OTHER, _STRIDE)
+    anchor, window, reach = rolled(data, (ANCHOR, LENGTH, side))
     key = (mixed(anchor) >> _PLACE_BITS << _PLACE_BITS) | np.arange(len(anchor), dtype=np.uint64)
     low, have = key, 1
     while 2 * have <= ANCHORS:
@@ -226,7 +227,7 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def combined(e: np.ndarray, buckets: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
-    """What a task passes on: what it knows to be covered, its entries by bucket, and of anchors with over `most` entries the stretches, with a mark for the bucket."""
+    """What a task passes on: what it knows to be covered, its entries by bucket, and of anchors with far over `most` entries the stretches, with a mark for the bucket."""
     by = np.lexsort((e["s"], e["h"]))
     e = e[by]
     covered, left = classes(e, np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1])))
@@ -234,7 +235,7 @@ def combined(e: np.ndarray, buckets: int, most: int | None = None) -> Iterator[p
         yield _covered(covered)
     if most is not None:
         run, size = _runs(left["h"])
-        crowded = (size > most)[run]
+        crowded = (size > ASIDE * most)[run]
         if crowded.any():
             yield _asked(left[crowded], True)
             marks = left[crowded & np.append(True, run[1:] != run[:-1])].copy()
@@ -389,37 +390,49 @@ def _sorted(lanes: list[np.ndarray], doc: np.ndarray, strings: list[bytes]) -> n
     return np.stack([who[gone], window[order][kept][gone]], 1)
 
 
+def _windows(places: np.ndarray, parts: list[bytes]) -> np.ndarray:
+    """An entry for each window of the parts at places (key, tag, lo, rep, step)."""
+    data = np.frombuffer(b"".join(parts), np.uint8)
+    size = np.array([len(x) for x in parts])
+    many, base = size - LENGTH + 1, np.cumsum(size) - size
+    k = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+    at = np.repeat(base, many) + k
+    e = np.zeros(len(at), ENTRY)
+    e["h"], e["s"] = mixed(rolled(data, (LENGTH,))[0][at]), mixed(rolled(data, (LENGTH,), _OTHER, _STRIDE)[0][at])
+    for name, column in zip(("doc", "tag", "lo", "rep", "step"), places.T, strict=True):
+        e[name] = np.repeat(column, many)
+    e["lo"] += k.astype(np.uint32)
+    return e
+
+
 def _fetched(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
     """The rows that settle the wanted stretches: their bytes by anchor, or their windows by hash where an anchor is crowded."""
     asked = wanted.groupBy("key", "tag").agg(F.collect_list(F.struct("lo", "hi", "rep", "step", "h", (F.col("kind") == CROWD).alias("crowd"))).alias("ask"))
-    met = _touched(docs, asked.select("key")).join(asked, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag"))).select("_key", "_tag", "_text", "ask")
+    met = _touched(docs, wanted.select("key")).join(asked, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag"))).select("_key", "_tag", "_text", "ask")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        places, crowd, size = [], [], 0
         for batch in batches:
             rows, blob = [], []
             for key, tag, x, ask in zip(batch.column("_key").to_pylist(), batch.column("_tag").to_pylist(), _texts(batch), batch.column("ask"), strict=True):
                 for a in ask.as_py():
                     part = x[a["lo"] : a["hi"] + LENGTH]
                     if a["crowd"]:
-                        data = np.frombuffer(part, np.uint8)
-                        e = np.zeros(len(data) - LENGTH + 1, ENTRY)
-                        e["h"], e["s"] = mixed(rolled(data, (LENGTH,))[0]), mixed(rolled(data, (LENGTH,), _OTHER, _STRIDE)[0])
-                        e["doc"], e["tag"], e["lo"], e["rep"], e["step"] = key, tag, a["lo"] + np.arange(len(e)), a["rep"], a["step"]
-                        held.append(e)
-                        size += len(e)
+                        places.append((key, tag, a["lo"], a["rep"], a["step"]))
+                        crowd.append(part)
+                        size += len(part)
+                        if size > FLUSH_ROWS:
+                            yield from combined(_windows(np.array(places, np.int64), crowd), buckets)
+                            places, crowd, size = [], [], 0
                     else:
                         rows.append((key, tag, a["lo"], a["hi"], a["rep"], a["step"], a["h"]))
                         blob.append(part)
-                if size > FLUSH_ROWS:
-                    yield from combined(np.concatenate(held), buckets)
-                    held, size = [], 0
             cols = dict(zip(("key", "tag", "lo", "hi", "rep", "step", "h"), np.array(rows, np.int64).reshape(-1, 7).T, strict=True))
             cols["rep"], cols["step"] = cols["rep"].astype(np.int32), cols["step"].astype(np.int32)
             p = buckets + (cols["h"].copy().view(np.uint64) % np.uint64(buckets)).astype(np.int64)
             yield _batch(len(rows), WANTED, p=p, entries=blob, **cols)
         if size:
-            yield from combined(np.concatenate(held), buckets)
+            yield from combined(_windows(np.array(places, np.int64), crowd), buckets)
 
     return met.mapInArrow(run, OUT)
 
@@ -450,7 +463,7 @@ def _compared(rows: DataFrame, buckets: int) -> DataFrame:
 
 def _touched(docs: DataFrame, keys: DataFrame) -> DataFrame:
     """The documents whose key may be among keys: a map of fixed size keeps most others from the shuffle of texts."""
-    cells = docs.sparkSession.sparkContext.broadcast(id_cells(keys, "key"))
+    cells = docs.sparkSession.sparkContext.broadcast(id_cells(keys, "key", keys.count()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -461,7 +474,7 @@ def _touched(docs: DataFrame, keys: DataFrame) -> DataFrame:
 
 def _hits(batch: pa.RecordBatch, cells: np.ndarray) -> np.ndarray:
     ids = mixed(batch.column("_key").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64))
-    return cells[(ids >> np.uint64(44)).astype(np.int64)]
+    return cell_of(ids, cells)
 
 
 def covered_windows(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
@@ -493,7 +506,7 @@ def suffix_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wi
     name = docs.schema["_own"].dataType.simpleString()
     rows = docs.select("_key", "_tag", "_text")
     covered = stored(covered_windows(rows, crowded).groupBy("key", "tag").agg(F.collect_list(F.struct("lo", "hi")).alias("gone")), "covered")
-    cells = docs.sparkSession.sparkContext.broadcast(id_cells(covered, "key"))
+    cells = docs.sparkSession.sparkContext.broadcast(id_cells(covered, "key", covered.count()))
     extra = RESULT if with_text else RESULT.rpartition(",")[0]
     schema = f"_own {name}, {extra}"
 
