@@ -14,12 +14,14 @@ from pyspark.sql import types as T
 
 #: Python's white space (str.isspace) as a class that Java, RE2 and Python regexes share.
 PY_WS = r"[\t-\r\x1c- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: The same characters, for trimming.
+PY_SPACES = "".join(chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))
 #: The word, number, percentage and flag patterns.
 WORD = r"[A-Za-z0-9]+(?:[\-'’][A-Za-z0-9]+)*"
 _AMOUNT = r"(?<![A-Za-z0-9_])[+-]?(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?"
 NUMBER = _AMOUNT + r"(?![A-Za-z0-9_])"
 PERCENT = _AMOUNT + r"\s*%"
-HTML_LIKE, URL_LIKE, WIDE_SPACE = r"<[^>]+>", r"https?://|www\.", r"[ \t]{2,}|\n{2,}"
+HTML_LIKE, URL_LIKE, WIDE_SPACE = r"<[^>]+>", r"(?i)https?://|www\.", PY_WS + "{2,}"
 #: Currency signs and keyword groups of the default recipe.
 CURRENCY = ("$", "€", "£", "¥", "₹", "₽", "₩", "₿")
 KEYWORD_GROUPS: dict[str, list[str]] = {
@@ -38,7 +40,7 @@ def as_column(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Python's str.strip()."""
-    return F.regexp_replace(as_column(c), f"^{PY_WS}+|{PY_WS}+$", "")
+    return F.btrim(as_column(c), F.lit(PY_SPACES))
 
 
 def filled(c: Column | str) -> Column:
@@ -90,10 +92,14 @@ def keyword_pattern(keyword: str) -> str:
 
 
 def keyword_count(c: Column, keywords: Iterable[str]) -> Column:
-    """Matches summed over the keywords, so overlapping ones count each on its own."""
-    total = F.lit(0)
+    """Matches summed over the keywords, so overlapping ones count each on its own.
+
+    Most texts lack most keywords: a plain search in the lower-cased text for the
+    first word of each spares them the pattern.
+    """
+    total, low = F.lit(0), F.lower(c)
     for k in keywords:
-        total = total + count(c, keyword_pattern(k))
+        total = total + F.when(F.contains(low, F.lit(k.split()[0].lower())), count(c, keyword_pattern(k))).otherwise(F.lit(0))
     return total.cast("int")
 
 
@@ -113,14 +119,14 @@ def length_metrics(c: Column | str) -> dict[str, Column]:
     }
 
 
-def representation_features(c: str, prefix: str, *, currency: Sequence[str] = CURRENCY, groups: Mapping[str, Sequence[str]] = KEYWORD_GROUPS) -> list[Column]:
-    """The explainable counts of one text column, prefix__name each; with six groups there are 24."""
-    t, lengths = filled(c), length_metrics(c)
+def representation_features(c: Column | str, prefix: str, *, currency: Sequence[str] = CURRENCY, groups: Mapping[str, Sequence[str]] = KEYWORD_GROUPS) -> list[Column]:
+    """The explainable counts of one text column that is filled (see filled), prefix__name each; with six groups there are 24."""
+    t = as_column(c)
     upper, letters = count_chars(t, "[A-Z]"), count_chars(t, "[A-Za-z]")
     out = {
-        "is_empty": lengths["is_empty"],
-        "character_count": lengths["character_count"],
-        "word_count": lengths["word_count"],
+        "is_empty": (t == "").cast("byte"),
+        "character_count": F.length(t),
+        "word_count": count(t, WORD),
         "number_count": count(t, NUMBER),
         "percentage_count": count(t, PERCENT),
         "currency_symbol_count": count_chars(t, "[" + re.escape("".join(currency)) + "]"),
@@ -140,6 +146,16 @@ def representation_features(c: str, prefix: str, *, currency: Sequence[str] = CU
     return [v.alias(f"{prefix}__{k}") for k, v in out.items()]
 
 
+def literal_pattern(label: str) -> str:
+    """A label as a pattern for lower-cased, collapsed text."""
+    return re.escape(" ".join(label.casefold().split()))
+
+
+def file_token(name: object) -> str:
+    """A name that any file system takes: other than letters, digits, dots, dashes and underscores becomes one underscore."""
+    return re.sub(r"[^A-Za-z0-9._-]+", "_", str(name)).strip("_") or "_"
+
+
 def slug(name: str) -> str:
     found = re.sub(r"[^a-z0-9]+", "_", name.casefold()).strip("_")
     if not found:
@@ -149,9 +165,10 @@ def slug(name: str) -> str:
 
 # ---------------------------------------------------------------- cleaning that needs Python
 
+#: Comments, tags and URLs in a text.
 _COMMENT, _TAG, _SPACES = re.compile(r"<!--.*?-->", re.S), re.compile(r"</?[A-Za-z][^>]*>"), re.compile(r"\s+")
 _ZERO_WIDTH = dict.fromkeys((0x200B, 0x200C, 0x200D, 0xFEFF))
-_URL = re.compile(r"(?:https?://|www\.)\S+", re.I)
+_URL = re.compile(r"\b(?:https?://|www\.)[^\s<>\[\]{}\"']+", re.I)
 
 
 def _mark_url(found: re.Match[str]) -> str:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -120,41 +119,46 @@ def ohlcv_sanity(candles: DataFrame) -> DataFrame:
 
 
 def text_quality(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Per text column: nulls, blanks, lengths of non-blank texts, and shares of HTML, URLs and wide white space."""
-
-    def one(name: str) -> DataFrame:
-        t = X.filled(name)
-        full, n = t != "", F.count(F.lit(1))
-        chars, words = F.when(full, F.length(t)), F.when(full, F.size(X.split_words(t)))
-        raw = F.coalesce(F.col(name), F.lit(""))
-        flag = lambda pattern: percent(F.count_if(raw.rlike(pattern)), n)
-        return df.agg(
+    """Per text column: nulls, blanks, lengths of non-blank texts, and shares of HTML, URLs and wide white space; one aggregation for all columns."""
+    parts = []
+    for k, name in enumerate(columns):
+        t, raw = X.filled(name), F.coalesce(F.col(name), F.lit(""))
+        full = t != ""
+        parts += [F.col(name).isNull().alias(f"null{k}"), full.alias(f"full{k}"), F.when(full, F.length(t)).alias(f"chars{k}"), F.when(full, F.size(X.split_words(t))).alias(f"words{k}")]
+        parts += [raw.rlike(p).alias(f"{flag}{k}") for flag, p in (("html", X.HTML_LIKE), ("url", X.URL_LIKE), ("wide", X.WIDE_SPACE))]
+
+    def one(k: int, name: str) -> Column:
+        n, null = F.count(F.lit(1)), F.col(f"null{k}")
+        return F.struct(
             F.lit(name).alias("column_name"),
             n.alias("row_count"),
-            F.count_if(F.col(name).isNull()).alias("null_count"),
-            F.count_if(F.col(name).isNotNull() & ~full).alias("blank_count"),
-            F.median(chars).alias("median_chars"),
-            F.avg(chars).alias("mean_chars"),
-            F.median(words).alias("median_words"),
-            flag(X.HTML_LIKE).alias("html_like_pct"),
-            flag(X.URL_LIKE).alias("url_like_pct"),
-            flag(X.WIDE_SPACE).alias("repeated_ws_pct"),
+            F.count_if(null).alias("null_count"),
+            F.count_if(~null & ~F.col(f"full{k}")).alias("blank_count"),
+            F.median(f"chars{k}").alias("median_chars"),
+            F.avg(f"chars{k}").alias("mean_chars"),
+            F.median(f"words{k}").alias("median_words"),
+            *[percent(F.count_if(F.col(f"{flag}{k}")), n).alias(c) for flag, c in (("html", "html_like_pct"), ("url", "url_like_pct"), ("wide", "repeated_ws_pct"))],
         )
 
-    return reduce(DataFrame.unionByName, [one(c) for c in columns])
+    return df.select(*parts).agg(F.array(*[one(k, c) for k, c in enumerate(columns)]).alias("rows")).select(F.inline("rows"))
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, percentiles (interpolated), max and missing values of each column."""
+def numeric_summary(df: DataFrame, columns: Sequence[str], *, accuracy: int | None = None) -> DataFrame:
+    """count, mean, std, min, percentiles, max and missing values of each column, in one aggregation.
+
+    Percentiles are interpolated and exact, which holds every distinct value of a
+    column in one task; with accuracy they are approximate, of rank error 1 / accuracy.
+    """
     probs = (0.01, 0.05, 0.5, 0.95, 0.99)
+    cast = df.select(*[F.expr(f"try_cast(`{c}` as double)").alias(f"v{k}") for k, c in enumerate(columns)])
 
-    def one(name: str) -> DataFrame:
-        v = F.expr(f"try_cast({name} as double)")
-        p = F.percentile(v, F.array(*[F.lit(x) for x in probs]))
-        out = df.agg(F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), p.alias("p"), F.max(v).alias("max"), F.count_if(v.isNull()).alias("missing"), percent(F.count_if(v.isNull()), F.count(F.lit(1))).alias("missing_pct"))
-        return out.select(F.lit(name).alias("column_name"), "count", "mean", "std", "min", *[F.get("p", F.lit(i)).alias(f"p{round(100 * x):02d}") for i, x in enumerate(probs)], "max", "missing", "missing_pct")
+    def one(k: int, name: str) -> Column:
+        v, missing = F.col(f"v{k}"), F.count_if(F.col(f"v{k}").isNull())
+        p = F.percentile(v, F.array(*[F.lit(x) for x in probs])) if accuracy is None else F.percentile_approx(v, list(probs), accuracy)
+        points = [F.get(p, F.lit(i)).alias(f"p{round(100 * x):02d}") for i, x in enumerate(probs)]
+        return F.struct(F.lit(name).alias("column_name"), F.count(v).alias("count"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("std"), F.min(v).alias("min"), *points, F.max(v).alias("max"), missing.alias("missing"), percent(missing, F.count(F.lit(1))).alias("missing_pct"))
 
-    return reduce(DataFrame.unionByName, [one(c) for c in columns])
+    return cast.agg(F.array(*[one(k, c) for k, c in enumerate(columns)]).alias("rows")).select(F.inline("rows"))
 
 
 def inspect_profile(df: DataFrame, key: Column, n: int = 500) -> DataFrame:
@@ -186,16 +190,16 @@ def duplicate_rows_all(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return groups.agg(F.coalesce(F.sum("count"), F.lit(0)).alias("rows_in_duplicate_groups"), F.count(F.lit(1)).alias("duplicate_groups"))
 
 
-def id_monotonic(df: DataFrame, position: str, value: str, parts: int = 64) -> DataFrame:
-    """How often value falls from one row to the next by position.
+def id_monotonic(df: DataFrame, position: str, value: str, parts: int = 64, tie: str | None = None) -> DataFrame:
+    """How often value falls from one row to the next by position; rows of one position stand in the order of tie, or else of value.
 
     Rows are cut into ranges of position, each is checked on its own, and the ranges'
     first and last values are compared in a frame of one row per range, so that no
     task orders the whole table.
     """
-    ranged = df.select(F.col(position).alias("p"), F.col(value).alias("v")).repartitionByRange(parts, "p").withColumn("r", F.spark_partition_id())
-    step = F.lag("v").over(Window.partitionBy("r").orderBy("p", "v"))
-    inner = ranged.withColumn("prev", step).groupBy("r").agg(F.count_if(F.col("v") < F.col("prev")).alias("drops"), F.min_by("v", F.struct("p", "v")).alias("first"), F.max_by("v", F.struct("p", "v")).alias("last"), F.count(F.lit(1)).alias("n"))
+    ranged = df.select(F.struct(F.col(position).alias("p"), F.col(tie or value).alias("t")).alias("at"), F.col(value).alias("v")).repartitionByRange(parts, "at.p").withColumn("r", F.spark_partition_id())
+    step = F.lag("v").over(Window.partitionBy("r").orderBy("at"))
+    inner = ranged.withColumn("prev", step).groupBy("r").agg(F.count_if(F.col("v") < F.col("prev")).alias("drops"), F.min_by("v", "at").alias("first"), F.max_by("v", "at").alias("last"), F.count(F.lit(1)).alias("n"))
     edges = inner.withColumn("before", F.lag("last").over(Window.orderBy("r")))  # `parts` rows at most
     drops = F.coalesce(F.sum("drops"), F.lit(0)) + F.count_if(F.col("first") < F.col("before"))
     return edges.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"), drops.alias("decreases"), (drops == 0).alias("is_monotonic"))

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterator
+import time
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import asdict, dataclass
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -64,35 +66,40 @@ def sentiment_summary(df: DataFrame, struct: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class EncoderSpec:
-    name: str = "deterministic"
+    name: str = "hash"
     pooling: str = "masked_mean"
     max_length: int = 256
     dimensions: int = 8
+    revision: str | None = None
 
     def __post_init__(self) -> None:
         if self.pooling not in ("masked_mean", "cls") or not 2 <= self.max_length <= 512 or self.dimensions < 1:
             raise ValueError(f"invalid encoder {self}")
 
 
-class DeterministicEncoder:
-    """Stands in for a frozen model: a token's id is the sum of its code points mod 47, plus 1, and its state a ramp from it."""
+class HashEncoder:
+    """Stands in for a frozen model where none is there: each word draws a vector from its hash, pooled like hidden states."""
 
     def __init__(self, spec: EncoderSpec):
         self.spec = spec
 
+    def states(self, words: list[str]) -> np.ndarray:
+        seeds = np.array([crc32(w.encode()) for w in words], np.uint64)
+        steps = np.arange(1, self.spec.dimensions + 1, dtype=np.uint64)
+        return ((seeds[:, None] * (2 * steps + 1) >> np.uint64(7)) % np.uint64(2001)).astype(np.float32) / 1000 - 1
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(vectors, whole token counts with the two end tokens, truncated)."""
+        """(vectors, words of the whole texts, whether a text was longer than max_length words)."""
         out, lengths = np.zeros((len(texts), self.spec.dimensions), np.float32), np.zeros(len(texts), np.int32)
-        for k, t in enumerate(texts):
-            ids = [101, *[sum(map(ord, w)) % 47 + 1 for w in t.split()], 102]
-            lengths[k] = len(ids)
-            ids = ids[: self.spec.max_length - 1] + [102] if len(ids) > self.spec.max_length else ids
-            states = np.array(ids, np.float32)[:, None] / 100 + np.arange(self.spec.dimensions, dtype=np.float32)
-            out[k] = states.mean(0) if self.spec.pooling == "masked_mean" else states[0]
+        for k, words in enumerate(t.split() for t in texts):
+            lengths[k] = len(words)
+            if words:
+                states = self.states(words[: self.spec.max_length])
+                out[k] = states.mean(0) if self.spec.pooling == "masked_mean" else states[0]
         return out, lengths, lengths > self.spec.max_length
 
 
-def encode(df: DataFrame, key: str, text: str, spec: EncoderSpec = EncoderSpec(), load: Callable[[EncoderSpec], object] = DeterministicEncoder) -> DataFrame:
+def encode(df: DataFrame, key: str, text: str, spec: EncoderSpec = EncoderSpec(), load: Callable[[EncoderSpec], object] = HashEncoder) -> DataFrame:
     """(key, embedding, token_count, truncated); the encoder is loaded once in each task and fed Arrow batches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,14 +114,33 @@ def encode(df: DataFrame, key: str, text: str, spec: EncoderSpec = EncoderSpec()
     return df.select(key, F.col(text).alias("t")).mapInPandas(run, f"{key} {kind}, embedding array<float>, token_count int, truncated boolean")
 
 
+def bundle_record(spec: EncoderSpec, pinned: bool = True) -> dict:
+    """What a run must note of its frozen model; a real one must be pinned to a revision, so that it can be loaded again."""
+    if pinned and spec.revision is None:
+        raise ValueError(f"{spec.name}: no revision to pin")
+    return asdict(spec) | {"device": "cpu", "frozen": True}
+
+
+def encoder_benchmark(df: DataFrame, key: str, representations: Sequence[str], specs: Sequence[EncoderSpec], load: Callable[[EncoderSpec], object] = HashEncoder) -> DataFrame:
+    """One row for each encoder and text column: rows, dimensions, seconds, megabytes, truncated rows, whether all is finite."""
+    rows = []
+    for spec in specs:
+        for name in representations:
+            began = time.monotonic()
+            r = encode(df, key, name, spec, load).agg(F.count(F.lit(1)).alias("n"), F.count_if("truncated").alias("cut"), F.median("token_count").alias("tokens"), F.coalesce(F.bool_and(finite(F.col("embedding"))), F.lit(True)).alias("finite")).first()
+            rows.append((name, spec.name, r["n"], spec.dimensions, time.monotonic() - began, r["n"] * spec.dimensions * 4 / 2**20, r["cut"], r["tokens"], r["finite"]))
+    return df.sparkSession.createDataFrame(rows, "representation string, method string, rows long, dimensions long, elapsed_seconds double, memory_mb double, truncated long, median_tokens double, finite_values boolean")
+
+
 def token_report(encoded: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return encoded.agg(n.alias("rows"), F.count_if("truncated").alias("truncated"), percent(F.count_if("truncated"), n).alias("truncated_pct"), F.median("token_count").alias("median_tokens"), F.max("token_count").alias("max_tokens"))
 
 
 def fingerprint(df: DataFrame, key: str, text: str, spec: EncoderSpec) -> str:
-    r = df.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("a"), F.max(key).alias("b")).first()
-    return hashlib.sha256(json.dumps({"rows": r["n"], "first": str(r["a"]), "last": str(r["b"]), "text": text, "spec": asdict(spec)}, sort_keys=True).encode()).hexdigest()
+    """Of a job: its rows, each with its key and text, whatever their order, and its encoder."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(key, text).cast("decimal(38,0)")).alias("ids")).first()
+    return hashlib.sha256(json.dumps({"rows": r["n"], "ids": str(r["ids"]), "text": text, "spec": asdict(spec)}, sort_keys=True).encode()).hexdigest()
 
 
 def written(spark: SparkSession, path: str) -> DataFrame | None:

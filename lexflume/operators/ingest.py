@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lexflume.functions import text as X
 from lexflume.operators.audit import long_form
@@ -70,9 +69,9 @@ def output_schema(df: DataFrame, columns: dict[str, str] = RECORD) -> DataFrame:
 
 
 def keep_last(df: DataFrame, column: str, order: str) -> DataFrame:
-    """The last row by order of each value; nulls are one value."""
-    w = Window.partitionBy(column).orderBy(F.desc(order))
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """The last row by order of each value; nulls are one value. Tasks keep their own last rows before the shuffle, so a hot value is spread."""
+    last = df.groupBy(F.col(column).alias("of")).agg(F.max_by(F.struct(*df.columns), order).alias("row"))
+    return last.select("row.*")
 
 
 def merge_incremental(old: DataFrame, new: DataFrame, keys: tuple[str, ...] = ("release_number", "canonical_url", "content_hash"), order: str = "ingest_seq") -> DataFrame:
@@ -85,8 +84,8 @@ def merge_incremental(old: DataFrame, new: DataFrame, keys: tuple[str, ...] = ("
 
 def dedup_candidates(df: DataFrame) -> DataFrame:
     """The first candidate, by page and position, of each release number or, without one, URL."""
-    w = Window.partitionBy(F.coalesce("release_number", "url")).orderBy("page", "position")
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    first = df.groupBy(F.coalesce("release_number", "url").alias("of")).agg(F.min_by(F.struct(*df.columns), F.struct("page", "position")).alias("row"))
+    return first.select("row.*")
 
 
 def new_urls(candidates: DataFrame, known: DataFrame, column: str = "url") -> DataFrame:

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
+import json
+import re
+import time
+import unicodedata
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import asdict, dataclass, fields
+from math import log, sqrt
+
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import SparseVector, VectorUDT
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexflume.functions import text as X
-
 
 @dataclass(frozen=True)
 class Recipe:
@@ -32,41 +38,114 @@ class Recipe:
 WORD_RECIPE, CHAR_RECIPE = Recipe(), Recipe("char_wb", 3, 5)
 
 
-def _tokens(text: str) -> Column:
-    return F.regexp_extract_all(F.lower(X.strip_accents(F.coalesce(F.col(text), F.lit("")))), F.lit(r"([\p{L}\p{N}_]+)"), F.lit(1))
+_WORD = re.compile(r"\w+")
 
 
-def terms(df: DataFrame, key: str, text: str, recipe: Recipe) -> DataFrame:
-    """(key, term, tf): how often each term is in a row."""
+def folded(text: str | None) -> str:
+    """Lower case, without accents."""
+    if not text or text.isascii():
+        return (text or "").lower()
+    return "".join(ch for ch in unicodedata.normalize("NFKD", text) if not unicodedata.combining(ch)).lower()
+
+
+def grams(text: str | None, recipe: Recipe) -> list[str]:
+    """The terms of a text, as often as they come."""
+    t = folded(text)
     if recipe.analyzer == "word":
-        words = df.select(key, F.filter(_tokens(text), lambda w: F.length(w) >= 2).alias("w"))
-        grams = "flatten(transform(sequence({0}, {1}), n -> if(size(w) < n, cast(array() as array<string>), transform(sequence(1, size(w) - n + 1), i -> array_join(slice(w, i, n), ' ')))))"
-        rows = words.select(key, F.explode(F.expr(grams.format(recipe.low, recipe.high))).alias("term"))
-    else:
-        split = X.split_words(F.lower(X.strip_accents(F.coalesce(F.col(text), F.lit("")))))
-        words = df.select(key, F.explode(split).alias("w")).groupBy(key, "w").count().withColumn("p", F.concat(F.lit(" "), F.col("w"), F.lit(" ")))
-        # A padded word not longer than n gives itself once and ends the sizes.
-        grams = "flatten(transform(sequence({0}, {1}), n -> if(n > {0} and length(p) < n, cast(array() as array<string>), if(length(p) <= n, array(p), transform(sequence(1, length(p) - n + 1), i -> substring(p, i, n))))))"
-        rows = words.select(key, "count", F.explode(F.expr(grams.format(recipe.low, recipe.high))).alias("term"))
-        return rows.groupBy(key, "term").agg(F.sum("count").alias("tf"))
-    return rows.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+        words = [w for w in _WORD.findall(t) if len(w) > 1]
+        out = list(words) if recipe.low == 1 else []
+        for n in range(max(recipe.low, 2), recipe.high + 1):
+            out += map(" ".join, zip(*(words[k:] for k in range(n)), strict=False))
+        return out
+    out = []
+    for word, times in Counter(t.split()).items():
+        p, own = f" {word} ", []
+        for n in range(recipe.low, recipe.high + 1):
+            own += [p[k : k + n] for k in range(max(len(p) - n, 0) + 1)]
+            if len(p) <= n:
+                break  # a padded word not longer than n gives itself once and ends the sizes
+        out += own * times
+    return out
+
+
+def _mapped(df: DataFrame, key: str, text: str, run, schema: str) -> DataFrame:
+    return df.select(F.col(key).alias("key"), F.col(text).alias("text")).mapInArrow(run, schema)
+
+
+def terms(df: DataFrame, key: str, text: str, recipe: Recipe) -> DataFrame:
+    """(key, term, tf): how often each term is in a row. Rows are counted by themselves; nothing is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, term, tf = [], [], []
+            for k, t in enumerate(batch.column("text").to_pylist()):
+                found = Counter(grams(t, recipe))
+                row += [k] * len(found)
+                term += found.keys()
+                tf += found.values()
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(row, pa.int64())), pa.array(term, pa.string()), pa.array(tf, pa.int64())], names=[key, "term", "tf"])
+
+    return _mapped(df, key, text, run, f"`{key}` {df.schema[key].dataType.simpleString()}, term string, tf long")
+
+
+#: Terms that a task counts before it passes on what it has.
+FLUSH_TERMS = 500_000
+
+
+def document_frequencies(df: DataFrame, key: str, text: str, recipe: Recipe) -> DataFrame:
+    """(term, df, total): rows and places of each term, added up in each task before the shuffle."""
+
+    def flushed(rows: Counter, places: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(places), pa.string()), pa.array([rows[t] for t in places], pa.int64()), pa.array(list(places.values()), pa.int64())], names=["term", "df", "total"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows, places = Counter(), Counter()
+        for batch in batches:
+            for t in batch.column("text").to_pylist():
+                found = grams(t, recipe)
+                places.update(found)
+                rows.update(set(found))
+                if len(places) > FLUSH_TERMS:
+                    yield flushed(rows, places)
+                    rows, places = Counter(), Counter()
+        yield flushed(rows, places)
+
+    parts = _mapped(df, key, text, run, "term string, df long, total long")
+    return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
 
 
 def fit(train: DataFrame, key: str, text: str, recipe: Recipe) -> DataFrame:
     """(term, column, idf): the most frequent terms within the document frequencies, ties and columns by term."""
-    found = terms(train, key, text, recipe)
-    n = train.select(key).distinct().count()
-    stats = found.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("total")).where((F.col("df") >= recipe.min_df) & (F.col("df") <= recipe.max_df * n))
+    n = train.count()
+    stats = document_frequencies(train, key, text, recipe).where((F.col("df") >= recipe.min_df) & (F.col("df") <= recipe.max_df * n))
     top = stats.orderBy(F.desc("total"), "term").limit(recipe.max_features)
     idf = F.log((1.0 + n) / (1.0 + F.col("df"))) + 1.0
     return top.select("term", (F.row_number().over(Window.orderBy("term")) - 1).alias("column"), idf.alias("idf"))  # max_features rows
 
 
 def transform(df: DataFrame, model: DataFrame, key: str, text: str, recipe: Recipe) -> DataFrame:
-    """(key, term, column, weight): (1 + ln tf) * idf, each row of length 1; rows without terms have none."""
-    raw = terms(df, key, text, recipe).join(F.broadcast(model), "term").withColumn("raw", (1.0 + F.log("tf")) * F.col("idf"))  # max_features rows
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", "column", (F.col("raw") / norm).alias("weight"))
+    """(key, term, column, weight): (1 + ln tf) * idf, each row of length 1; rows without terms have none.
+
+    The model (max_features rows) goes to every worker; each row is weighed where it is.
+    """
+    listed = {r["term"]: (r["column"], r["idf"]) for r in model.collect()}  # max_features rows
+    shared = df.sparkSession.sparkContext.broadcast(listed)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for batch in batches:
+            row, term, column, weight = [], [], [], []
+            for k, t in enumerate(batch.column("text").to_pylist()):
+                found = Counter(filter(known.__contains__, grams(t, recipe)))
+                raw = [(1.0 + log(tf)) * known[x][1] for x, tf in found.items()]
+                norm = sqrt(sum(w * w for w in raw))
+                row += [k] * len(raw)
+                term += found
+                column += [known[x][0] for x in found]
+                weight += [w / norm for w in raw]
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(row, pa.int64())), pa.array(term, pa.string()), pa.array(column, pa.int32()), pa.array(weight, pa.float64())], names=[key, "term", "column", "weight"])
+
+    return _mapped(df, key, text, run, f"`{key}` {df.schema[key].dataType.simpleString()}, term string, column int, weight double")
 
 
 def combined(df: DataFrame, key: str, text: str, parts: dict[str, tuple[Recipe, DataFrame]]) -> DataFrame:
@@ -85,6 +164,45 @@ def report(docs: DataFrame, weights: DataFrame, key: str, features: int) -> Data
     return nnz.agg(n.alias("rows"), F.lit(features).cast("long").alias("features"), s.alias("nnz"), (100.0 * (1 - s / (n * features))).alias("sparsity_pct"), F.count_if(F.col("nnz") == 0).alias("zero_vectors"), (s * 8 + (n + 1) * 4).alias("csr_bytes"))
 
 
+def benchmark(df: DataFrame, key: str, representations: Sequence[str], recipes: Mapping[str, Recipe], folder: str | None = None) -> DataFrame:
+    """One row for each recipe and text column, fitted and applied on df's rows; with a folder the models and weights are kept there."""
+    rows = []
+    for name in representations:
+        for label, recipe in recipes.items():
+            began = time.monotonic()
+            model = fit(df, key, name, recipe)
+            if folder:
+                save(model, recipe, f"{folder}/{name}__{label}")
+                model, recipe = load(df.sparkSession, f"{folder}/{name}__{label}")
+            weights = transform(df, model, key, name, recipe)
+            features = model.count()
+            r = report(df, weights, key, max(features, 1)).first()
+            rows.append((name, label, r["rows"], features, r["nnz"], float(r["sparsity_pct"] or 0.0), r["zero_vectors"], r["csr_bytes"] / 2**20, time.monotonic() - began, True))
+    return df.sparkSession.createDataFrame(rows, "representation string, method string, rows long, dimensions long, nnz long, sparsity_pct double, zero_vectors long, memory_mb double, elapsed_seconds double, finite_values boolean")
+
+
+def save(model: DataFrame, recipe: Recipe, path: str) -> None:
+    """A fitted model (max_features rows) and its recipe."""
+    model.withColumn("recipe", F.lit(json.dumps(asdict(recipe), sort_keys=True))).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def load(spark: SparkSession, path: str) -> tuple[DataFrame, Recipe]:
+    """A saved model and its recipe."""
+    kept = spark.read.parquet(path)
+    first = kept.select("recipe").first()
+    if first is None:
+        raise ValueError(f"no terms in {path}")
+    return kept.drop("recipe"), Recipe(**json.loads(first["recipe"]))
+
+
+def recipe_of(settings: Mapping) -> Recipe:
+    """A recipe from settings; unknown names and invalid values raise ValueError."""
+    known = {f.name for f in fields(Recipe)}
+    if set(settings) - known:
+        raise ValueError(f"unknown settings {sorted(set(settings) - known)}; known are {sorted(known)}")
+    return Recipe(**settings)
+
+
 def vectors(docs: DataFrame, weights: DataFrame, key: str, size: int) -> DataFrame:
     """(key, features): sparse vectors, one for each row of docs, empty ones too."""
     rows = weights.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("column", "weight"))).alias("cells"))

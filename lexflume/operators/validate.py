@@ -35,15 +35,21 @@ def blocks(checks: DataFrame) -> bool:
     return not checks.where("blocks_pipeline").isEmpty()
 
 
+def available_representations(df: DataFrame, wanted: Sequence[str]) -> list[str]:
+    """Those of the wanted columns that are there, in the wanted order."""
+    return [r for r in wanted if r in df.columns]
+
+
 def _whole(kind: T.DataType) -> bool:
     return isinstance(kind, T.ByteType | T.ShortType | T.IntegerType | T.LongType)
 
 
 def input_contract(df: DataFrame, *, id_column: str, representations: Sequence[str], reference_rows: int | None = None, drift: float = 0.25, order: str | None = None) -> list[Check]:
-    """The checks of a table that features are made of: one aggregation for the counts, the rest from the schema."""
-    has_id, there = id_column in df.columns, [r for r in representations if r in df.columns]
+    """The checks of a table that features are made of: one aggregation for counts and nulls, one for each kind of repeats, one for the order, the rest from the schema."""
+    has_id, there = id_column in df.columns, available_representations(df, representations)
     contract = ([id_column] if has_id else []) + there
-    n = df.count()
+    null = F.count_if(F.col(id_column).isNull()) if has_id else F.lit(0)
+    n, missing = df.agg(F.count(F.lit(1)), null).first()
     checks = [Check("dataset_has_rows", n > 0, "critical", n, "> 0"), Check("row_count_observed", True, "info", n, n)]
     if reference_rows:
         share = abs(n - reference_rows) / reference_rows
@@ -52,7 +58,6 @@ def input_contract(df: DataFrame, *, id_column: str, representations: Sequence[s
     checks += [Check(f"representation_present::{r}", r in there, "warning", r in there, True) for r in representations]
     checks.append(Check("at_least_one_representation", bool(there), "critical", len(there), ">= 1"))
     if has_id:
-        missing = df.where(F.col(id_column).isNull()).count()
         repeated = _in_groups(df, [id_column])
         checks += [Check("id_missing", missing == 0, "warning", missing, 0), Check("id_duplicate_rows", repeated == 0, "warning", repeated, 0), Check("id_integer_dtype", _whole(df.schema[id_column].dataType), "warning", df.schema[id_column].dataType.simpleString(), "integer")]
         falls = id_monotonic(df, order or id_column, id_column).first()["decreases"]

@@ -19,6 +19,8 @@ from lexflume.operators import reduce as D
 from lexflume.operators import sampling as S
 from lexflume.operators import tfidf as M
 from lexflume.operators import validate as V
+from lexflume.plans import config as C
+from lexflume.plans import stages as G
 from lexflume.sources import files as Y
 from lexflume.streaming.dedup import stream_distinct
 
@@ -29,7 +31,9 @@ ORACLE_SQL: dict[str, str] = {}
 #: Words that occur in the test documents, in the place of the default groups.
 LEXICON = {"common": ["the", "of the", "is"], "other": ["and", "der", "le"]}
 HOSTS = ["ththre.example.com", "thther.example.org"]
-WS = X.PY_WS
+#: The SQL has its own patterns, written out, so that a wrong one in the package shows.
+WS = r"[\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+SQL_WORD = r"[0-9A-Za-z]+([-'’][0-9A-Za-z]+)*"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -51,6 +55,15 @@ def docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+def blanked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, some without a text and some with a blank one."""
+    k = F.col("doc_id")
+    return docs(spark, sf_dir).withColumn("text", F.when(k % 13 != 0, F.when(k % 17 == 0, F.lit(" \n\u00a0\u3000")).otherwise(F.col("text"))))
+
+
+BLANKED = "(SELECT * REPLACE (CASE WHEN doc_id % 13 <> 0 THEN CASE WHEN doc_id % 17 = 0 THEN ' ' || chr(10) || chr(160) || chr(12288) ELSE text END END AS text) FROM documents)"
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles: the first two lines are title and description; every fifth has no URL, the others share one with a twin."""
     line = lambda k: F.coalesce(F.get(F.split("text", "\n"), F.lit(k)), F.lit(""))
@@ -81,7 +94,7 @@ def sql_words(c: str) -> str:
 
 NUMBER = r"\b(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?\b"
 PERCENT = r"\b(?:\d{1,3}(?:,\d{3})+|\d+)(?:\.\d+)?\s*%"
-CURRENCY = "[" + "".join("\\" + c if c == "$" else c for c in X.CURRENCY) + "]"
+CURRENCY = r"[\$€£¥₹₽₩₿]"
 
 
 def sql_keyword(k: str) -> str:
@@ -150,9 +163,10 @@ def inspect_profile(spark, sf):
     return A.inspect_profile(table(spark, sf, "orders").select(_ORDERS), F.col("o_orderkey"))
 
 
-@query()
+@query("SELECT doc_id, json_object('doc_id', doc_id, 'lang', lang, 'missing', NULL, 'n_chars', n_chars, 'source', source)::VARCHAR AS record FROM documents")
 def record_to_json(spark, sf):
-    return docs(spark, sf).select("doc_id", F.to_json(F.struct("doc_id", "lang", "n_chars", "source", "text")).alias("record"))
+    d = docs(spark, sf).drop("text").withColumn("missing", F.lit(None).cast("string"))
+    return d.select("doc_id", Y.as_record(d).alias("record"))
 
 
 @query("""WITH q AS (SELECT quantile_cont(len(text), 0.99) AS q FROM documents), k AS (SELECT len(text)::DOUBLE AS v FROM documents, q WHERE len(text) <= q),
@@ -174,19 +188,19 @@ def label_filter(spark, sf):
     return P.label_filter(table(spark, sf, "customer").select("c_custkey", "c_mktsegment"), "c_mktsegment", [" BUILDING", "machinery"])
 
 
-@query(r"SELECT p_partkey, p_type, coalesce(len(list_filter(regexp_split_to_array(p_type, '[,;|/]|\s'), lambda x: regexp_full_match(lower(trim(x)), 'brass|tin|large'))) > 0, false) AS matches FROM part")
+@query(r"SELECT p_partkey, p_type, coalesce(len(list_filter(regexp_split_to_array(p_type, '[,;|/]|\s'), lambda x: regexp_full_match(lower(trim(x)), 'small|promo|large'))) > 0, false) AS matches FROM part")
 def multilabel_predicate(spark, sf):
-    return table(spark, sf, "part").select("p_partkey", "p_type", P.label_mentions(F.col("p_type"), "brass|tin|large", r"[,;|/]|\s").alias("matches"))
+    return table(spark, sf, "part").select("p_partkey", "p_type", P.label_mentions(F.col("p_type"), "small|promo|large", r"[,;|/]|\s").alias("matches"))
 
 
-@query(r"SELECT p_partkey FROM part WHERE regexp_matches(lower(p_type), 'brass|\btin\b')")
+@query(r"SELECT p_partkey FROM part WHERE regexp_matches(lower(p_type), 'econ|\blarge\b')")
 def substring_predicate(spark, sf):
-    return table(spark, sf, "part").where(F.lower("p_type").rlike(r"brass|\btin\b")).select("p_partkey")
+    return table(spark, sf, "part").where(F.lower("p_type").rlike(r"econ|\blarge\b")).select("p_partkey")
 
 
-@query(f"SELECT doc_id, {sql_filled('text')} <> '' AS nonempty FROM documents")
+@query(f"SELECT doc_id, {sql_filled('text')} <> '' AS nonempty FROM {BLANKED}")
 def nonempty_mask(spark, sf):
-    return docs(spark, sf).select("doc_id", X.nonempty("text").alias("nonempty"))
+    return blanked(spark, sf).select("doc_id", X.nonempty("text").alias("nonempty"))
 
 
 @query(f"WITH {ARTICLES} SELECT source_row_id FROM articles WHERE {sql_filled('title')} <> '' OR {sql_filled('description')} <> '' OR {sql_filled('full_text')} <> ''")
@@ -213,9 +227,9 @@ def keyword_relevance_filter(spark, sf):
     return I.relevant(docs(spark, sf), F.col("text"), _HITS, 2).select("doc_id")
 
 
-@query(r"SELECT page_id, regexp_matches(regexp_extract(url, '^[a-z]+://[^/?#]+([^?#]*)', 1), '^/(en|fr)/\d+') AS is_article FROM pages")
+@query("SELECT page_id, page_id % 7 <> 0 AS is_article FROM pages")
 def url_path_filter(spark, sf):
-    return table(spark, sf, "pages").select("page_id", F.coalesce(F.try_parse_url("url", F.lit("PATH")).rlike(r"^/(en|fr)/\d+"), F.lit(False)).alias("is_article"))
+    return releases(spark, sf).select("page_id", U.is_article(F.col("url")).alias("is_article"))
 
 
 @query("SELECT page_id, url FROM pages WHERE url NOT IN (SELECT url FROM pages WHERE page_id % 3 = 0)")
@@ -235,9 +249,9 @@ LEAKAGE = ["sentiment_label", "sentiment_score", "Open", "High", "Low", "Close",
 _EXPECTED = ["doc_id", "text", "title", "source", "lang", "url"]
 
 
-@query(f"SELECT unnest({LEAKAGE}) AS column_name, false AS present, true AS safe")
+@query(f"SELECT c AS column_name, c IN ('Volume', 'Close') AS present, c NOT IN ('Volume', 'Close') AS safe FROM (SELECT unnest({LEAKAGE}) AS c)")
 def leakage_review(spark, sf):
-    return A.leakage_review(docs(spark, sf), LEAKAGE)
+    return A.leakage_review(docs(spark, sf).withColumnsRenamed({"n_chars": "Volume", "source": "Close"}), LEAKAGE)
 
 
 _SCHEMA_SQL = f"""WITH e AS (SELECT unnest({_EXPECTED}) AS column_name, unnest(range({len(_EXPECTED)}))::INT AS expected_position),
@@ -259,10 +273,10 @@ def schema_missing_unexpected(spark, sf):
 # ---------------------------------------------------------------- joins and set operations
 
 
-@query("SELECT p_partkey, p_type FROM part WHERE lower(trim(p_type)) IN (SELECT lower(trim(p_type)) FROM part WHERE regexp_matches(p_type, 'BRASS'))")
+@query("SELECT p_partkey, p_type FROM part WHERE lower(trim(p_type)) IN (SELECT lower(trim(p_type)) FROM part WHERE regexp_matches(p_type, 'ECON'))")
 def semi_join_labels(spark, sf):
     p = table(spark, sf, "part").select("p_partkey", "p_type")
-    return P.semi_join_labels(p, "p_type", A.accepted_labels(A.category_audit(p, "p_type", F.col("category").contains("BRASS"))))
+    return P.semi_join_labels(p, "p_type", A.accepted_labels(A.category_audit(p, "p_type", F.col("category").contains("ECON"))))
 
 
 @query("SELECT d.doc_id, d.n_chars, l.quality, l.toxic FROM documents d JOIN labels l ON d.doc_id = l.doc_id")
@@ -303,14 +317,14 @@ def value_counts(spark, sf):
     return A.value_counts(table(spark, sf, "events"), "event_type")
 
 
-@query("SELECT p_type AS category, count(*) AS row_count, coalesce(regexp_matches(p_type, 'BRASS'), false) AS matches FROM part GROUP BY 1")
+@query("SELECT p_type AS category, count(*) AS row_count, coalesce(regexp_matches(p_type, 'ECON'), false) AS matches FROM part GROUP BY 1")
 def category_audit(spark, sf):
-    return A.category_audit(table(spark, sf, "part"), "p_type", F.col("category").contains("BRASS"))
+    return A.category_audit(table(spark, sf, "part"), "p_type", F.col("category").contains("ECON"))
 
 
-@query(f"SELECT count(*) FILTER (p_type LIKE '%BRASS%') AS matching_rows, count(*) AS total_rows, {pct('count(*) FILTER (p_type LIKE ' + chr(39) + '%BRASS%' + chr(39) + ')', 'count(*)')} AS matching_pct FROM part")
+@query(f"SELECT count(*) FILTER (p_type LIKE '%ECON%') AS matching_rows, count(*) AS total_rows, {pct('count(*) FILTER (p_type LIKE ' + chr(39) + '%ECON%' + chr(39) + ')', 'count(*)')} AS matching_pct FROM part")
 def category_share(spark, sf):
-    return A.category_share(table(spark, sf, "part"), F.col("p_type").contains("BRASS"))
+    return A.category_share(table(spark, sf, "part"), F.col("p_type").contains("ECON"))
 
 
 def _dup_sql(source: str, key: str) -> str:
@@ -408,7 +422,7 @@ def _quality_sql(name: str, source: str) -> str:
     flag = lambda p: pct(f"count(*) FILTER (regexp_matches({raw}, '{p}'))", "count(*)")
     return f"""SELECT '{name}' AS column_name, count(*) AS row_count, count(*) - count({name}) AS null_count, count(*) FILTER ({name} IS NOT NULL AND {t} = '') AS blank_count,
         median(CASE WHEN {t} <> '' THEN len({t}) END) AS median_chars, avg(CASE WHEN {t} <> '' THEN len({t}) END) AS mean_chars, median(CASE WHEN {t} <> '' THEN len({sql_words(t)}) END) AS median_words,
-        {flag(X.HTML_LIKE)} AS html_like_pct, {flag(X.URL_LIKE)} AS url_like_pct, {flag(X.WIDE_SPACE)} AS repeated_ws_pct FROM {source}"""
+        {flag('<[^>]+>')} AS html_like_pct, {flag('(?i)(https?://|www[.])')} AS url_like_pct, {flag(WS + WS)} AS repeated_ws_pct FROM {source}"""
 
 
 @query(f"SELECT * REPLACE (round(mean_chars, 6) AS mean_chars) FROM ({_quality_sql('html', 'pages')} UNION ALL {_quality_sql('url', 'pages')})")
@@ -430,7 +444,7 @@ def _comparison_sql(name: str) -> str:
         count(*) FILTER (NOT e) AS nonempty_count, {pct('count(*) FILTER (NOT e)', 'count(*)')} AS nonempty_pct, median(w) AS median_word_count, round(quantile_cont(w, 0.95), 6) AS p95_word_count, max(w) AS max_word_count,
         median(c) AS median_character_count, round(quantile_cont(c, 0.95), 6) AS p95_character_count, max(c) AS max_character_count, count(*) FILTER (NOT e AND w <= 3) AS very_short_word_count, {pct('count(*) FILTER (NOT e AND w <= 3)', 'count(*) FILTER (NOT e)')} AS very_short_word_pct_nonempty,
         count(*) FILTER (NOT e AND c <= 20) AS very_short_character_count, {pct('count(*) FILTER (NOT e AND c <= 20)', 'count(*) FILTER (NOT e)')} AS very_short_character_pct_nonempty
-        FROM (SELECT {name} IS NULL AS n, {sql_filled(name)} = '' AS e, len({sql_filled(name)}) AS c, {sql_count(sql_filled(name), X.WORD)} AS w FROM articles)"""
+        FROM (SELECT {name} IS NULL AS n, {sql_filled(name)} = '' AS e, len({sql_filled(name)}) AS c, {sql_count(sql_filled(name), SQL_WORD)} AS w FROM articles)"""
 
 
 @query(f"WITH {ARTICLES} {_comparison_sql('full_text')} UNION ALL {_comparison_sql('description')}")
@@ -590,11 +604,21 @@ def smoke_sample_capped(spark, sf):
     return S.smoke_sample_capped(articles(spark, sf).select("source_row_id", "description", "full_text"), 100, "source_row_id", ["description", "full_text"], 5)
 
 
-@query("SELECT 'tfidf' AS source, 'word' AS method, count(*) AS rows, NULL::DOUBLE AS explained FROM documents UNION ALL SELECT 'pca', 'dense', count(*), NULL FROM embeddings")
+def _reports(spark, sf) -> dict[str, DataFrame | None]:
+    """Reports of three kinds: rows of documents by language, of embeddings, and none of a fourth."""
+    rows = docs(spark, sf).groupBy("lang").agg(F.count(F.lit(1)).alias("rows"), F.sum("n_chars").cast("double").alias("memory_mb"))
+    tfidf = rows.select(F.col("lang").alias("representation"), F.lit("word").alias("method"), "rows", F.lit(6000).alias("dimensions"), "memory_mb", F.lit(True).alias("finite_values"))
+    dense = table(spark, sf, "embeddings").agg(F.lit("dense").alias("representation"), F.lit("pca").alias("method"), F.count(F.lit(1)).alias("rows"), F.max(F.size("embedding")).alias("dimensions"), F.bool_and(E.finite(F.col("embedding"))).alias("finite_values"))
+    return {"row_features": rows.select(F.lit("both").alias("representation"), "rows"), "tfidf": tfidf, "encoder": None, "reduction": dense}
+
+
+@query("""WITH r AS (SELECT lang, count(*) AS n, sum(n_chars)::DOUBLE AS c FROM documents GROUP BY 1),
+    u AS (SELECT '04_01' AS stage, 'row_level_manual' AS method_family, 'both' AS representation, NULL AS method, n AS rows, NULL::BIGINT AS dimensions, 'dense_parquet' AS storage, NULL::DOUBLE AS memory_mb, NULL::BOOLEAN AS finite_values, 'row_local_full_dataset' AS fit_scope FROM r
+    UNION ALL SELECT '04_02', 'tfidf', lang, 'word', n, 6000, 'csr_sparse_npz', c, true, 'smoke_sample_only' FROM r
+    UNION ALL SELECT '04_03', 'dimensionality_reduction', 'dense', 'pca', count(*), max(len(embedding)), 'dense_float32_npy', NULL, bool_and(len(list_filter(embedding, lambda x: NOT isfinite(x))) = 0), 'train_rows_only' FROM embeddings)
+    SELECT *, NULL::DOUBLE AS elapsed_seconds, 'not_evaluated_in_phase4' AS semantic_quality_status FROM u""")
 def method_benchmark(spark, sf):
-    a = docs(spark, sf).agg(F.lit("tfidf").alias("source"), F.lit("word").alias("method"), F.count(F.lit(1)).alias("rows"))
-    b = table(spark, sf, "embeddings").agg(F.lit("pca").alias("source"), F.lit("dense").alias("method"), F.count(F.lit(1)).alias("rows"), F.lit(None).cast("double").alias("explained"))
-    return a.unionByName(b, allowMissingColumns=True)
+    return G.method_benchmark(spark, _reports(spark, sf))
 
 
 # ---------------------------------------------------------------- text and other scalars
@@ -628,9 +652,9 @@ def collapse_ws(spark, sf):
 _T = sql_filled("text")
 
 
-@query(f"SELECT doc_id, (text IS NULL)::TINYINT AS is_null, ({_T} = '')::TINYINT AS is_empty, len({_T})::INT AS character_count, {sql_count(_T, X.WORD)}::INT AS word_count FROM documents")
+@query(f"SELECT doc_id, (text IS NULL)::TINYINT AS is_null, ({_T} = '')::TINYINT AS is_empty, len({_T})::INT AS character_count, {sql_count(_T, SQL_WORD)}::INT AS word_count FROM {BLANKED}")
 def length_metrics(spark, sf):
-    return docs(spark, sf).select("doc_id", *[v.alias(k) for k, v in X.length_metrics("text").items()])
+    return blanked(spark, sf).select("doc_id", *[v.alias(k) for k, v in X.length_metrics("text").items()])
 
 
 @query(f"SELECT doc_id, len({sql_words('text')})::INT AS words FROM documents")
@@ -681,8 +705,8 @@ def keyword_hits(spark, sf):
 def _features_sql(name: str, prefix: str) -> list[str]:
     t = sql_filled(name)
     out = {
-        "is_empty": f"({t} = '')::TINYINT", "character_count": f"len({t})::INT", "word_count": f"{sql_count(t, X.WORD)}::INT", "number_count": f"{sql_count(t, NUMBER)}::INT", "percentage_count": f"{sql_count(t, PERCENT)}::INT", "currency_symbol_count": f"{sql_count(t, CURRENCY)}::INT",
-        "uppercase_character_count": f"{sql_count(t, '[A-Z]')}::INT", "alphabetic_character_count": f"{sql_count(t, '[A-Za-z]')}::INT", "uppercase_ratio": f"round(coalesce({sql_count(t, '[A-Z]')}::DOUBLE / nullif({sql_count(t, '[A-Za-z]')}, 0), 0.0), 6)",
+        "is_empty": f"({t} = '')::TINYINT", "character_count": f"len({t})::INT", "word_count": f"{sql_count(t, SQL_WORD)}::INT", "number_count": f"{sql_count(t, NUMBER)}::INT", "percentage_count": f"{sql_count(t, PERCENT)}::INT", "currency_symbol_count": f"{sql_count(t, CURRENCY)}::INT",
+        "uppercase_character_count": f"{sql_count(t, '[A-Z]')}::INT", "alphabetic_character_count": f"{sql_count(t, '[A-Za-z]')}::INT", "uppercase_ratio": f"round(coalesce({sql_count(t, '[A-Z]')}::DOUBLE / nullif({sql_count(t, '[A-Za-z]')}, 0), 0.0)::FLOAT::DOUBLE, 5)",
         "question_mark_count": f"{sql_count(t, chr(92) + '?')}::INT", "exclamation_mark_count": f"{sql_count(t, '!')}::INT",
     }
     for k, v in LEXICON.items():
@@ -694,7 +718,7 @@ def _features_sql(name: str, prefix: str) -> list[str]:
 @query(f"WITH {ARTICLES} SELECT source_row_id, {', '.join(_features_sql('full_text', 'body') + _features_sql('description', 'description'))} FROM articles")
 def row_features(spark, sf):
     out = R.row_features(articles(spark, sf), id_column="source_row_id", prefixes={"full_text": "body", "description": "description"}, groups=LEXICON)
-    return out.withColumns({c: F.round(F.try_divide(F.col(c.replace("ratio", "character_count")).cast("double"), F.col(c.replace("uppercase_ratio", "alphabetic_character_count"))), 6) for c in out.columns if c.endswith("uppercase_ratio")}).fillna(0.0)
+    return out.withColumns({c: F.round(F.col(c).cast("double"), 5) for c in out.columns if c.endswith("uppercase_ratio")})
 
 
 @query("SELECT doc_id, 'sec_' || replace('2024-' || doc_id, '-', '_') AS document_id FROM documents")
@@ -795,19 +819,75 @@ def embedding_report(spark, sf):
 # ---------------------------------------------------------------- pages
 
 
-@query()
+def releases(spark, sf) -> DataFrame:
+    """Pages of press releases in several layouts, and every seventh page as it came."""
+    k = F.col("page_id")
+    number, day = F.format_string("20%02d-%d", k % 30 + 10, k % 900 + 1), F.date_add(F.lit("2021-01-01"), (k % 700).cast("int"))
+    date = F.when(k % 3 == 0, F.concat(F.lit("Washington D.C., "), F.date_format(day, "MMMM d, yyyy"), F.lit(" —"))).when((k % 3 == 1) | (k % 5 == 0), F.date_format(day, "MMM d, yyyy")).otherwise(F.date_format(day, "yyyy-MM-dd"))
+    body = F.concat(F.lit("<p>The court heard case "), k.cast("string"), F.lit(".</p>"))
+    page = F.concat(F.lit("<html><head><link rel='canonical' href='/news/"), number, F.lit("'></head><body><main><h1>Release "), k.cast("string"), F.lit(" &amp; note</h1><p>A note on case "), k.cast("string"), F.lit("</p><p>For Immediate Release</p><p>"), F.when(k % 5 == 0, "no number").otherwise(number), F.lit("</p><p>"), date, F.lit("</p>"), body, body, F.lit("<script>var x</script><p>Resources</p><p>De rien.</p><p>###</p><p>The end</p></main></body></html>"))
+    return table(spark, sf, "pages").select("page_id", F.when(k % 7 == 0, F.col("html")).otherwise(page).alias("html"), F.when(k % 7 == 0, F.col("url")).otherwise(F.concat(F.lit("https://x.org/news/press-release/"), number)).alias("url"), number.alias("release_number"), (k % 4).alias("page"), k.alias("position"))
+
+
+RELEASES = """releases AS (SELECT page_id, '20' || printf('%02d', page_id % 30 + 10) || '-' || (page_id % 900 + 1) AS n, strftime(DATE '2021-01-01' + (page_id % 700)::INT, '%Y-%m-%d') AS day, 'Release ' || page_id || ' & note' AS title,
+        'The court heard case ' || page_id || '. De rien.' AS body, 'A note on case ' || page_id AS note FROM pages WHERE page_id % 7 <> 0)"""
+
+
+@query(f"""WITH {RELEASES} SELECT page_id, title, CASE WHEN page_id % 5 = 0 THEN '' ELSE note END AS description, body AS full_text, n AS release_number, day AS published_at, NULL::VARCHAR AS last_reviewed_at, 'https://x.org/news/press-release/' || n AS url, 'https://x.org/news/' || n AS canonical_url, 'the,de' AS matched_keywords, 2 AS keyword_count, true AS is_related, NULL::VARCHAR AS error FROM releases""")
 def parse_article(spark, sf):
     parse = H.article_parser(["the", "de"])
-    return table(spark, sf, "pages").select("page_id", parse("html", "url").alias("a")).select("page_id", "a.*")
+    parsed = releases(spark, sf).where("page_id % 7 <> 0").select("page_id", parse("html", "url").alias("a")).select("page_id", "a.*")
+    return parsed.withColumn("matched_keywords", F.array_join("matched_keywords", ","))
 
 
-@query("SELECT url, 'parse' AS stage, 'release number not found' AS error FROM pages WHERE regexp_matches(html, '<h1>[^<]') AND NOT regexp_matches(html, '(19|20)[0-9]{2}-[0-9]') AND NOT regexp_matches(url, '(19|20)[0-9]{2}-[0-9]')")
+@query("SELECT url, 'parse' AS stage, 'release number not found' AS error FROM pages WHERE regexp_matches(html, '<h1>[^<]') AND NOT regexp_matches(html, '(19|20)[0-9]{2}-[0-9]') AND NOT regexp_matches(url, '(19|20)[0-9]{2}-[0-9]') AND page_id % 7 = 0")
 def failed_rows(spark, sf):
     parse = H.article_parser(["the", "de"])
-    parsed = table(spark, sf, "pages").select(parse("html", "url").alias("a")).select("a.*")
+    parsed = releases(spark, sf).select(parse("html", "url").alias("a")).select("a.*")
     return I.failed_rows(parsed, "parse")[1]
 
 
+@query(f"""WITH {RELEASES}, best AS (SELECT * FROM releases QUALIFY row_number() OVER (PARTITION BY n ORDER BY page_id % 4, page_id) = 1), made AS (SELECT * FROM best WHERE page_id % 6 <> 0)
+    SELECT 'sec_' || replace(n, '-', '_') AS document_id, n AS release_number, title, body AS full_text, day AS published_at, sha256(title || chr(10) || body) AS content_hash, page_id % 6 = 0 AS known FROM best""")
+def collection_run(spark, sf):
+    """Two runs over the same listing, the second of which finds a sixth of its pages known."""
+    pages = releases(spark, sf).where("page_id % 7 <> 0")
+    first = I.dedup_candidates(pages).where("page_id % 6 = 0")
+    old, _ = G.collected(first, keywords=["court"], scraped_at="2025-01-01T00:00:00")
+    old = old.withColumn("url", F.concat(F.lit("https://x.org/news/press-release/"), "release_number"))
+    both, _ = G.collected(I.dedup_candidates(pages), keywords=["court"], existing=old.withColumn("canonical_url", F.col("url")), scraped_at="2025-02-01T00:00:00")
+    return both.select("document_id", "release_number", "title", "full_text", "published_at", "content_hash", (F.col("scraped_at") == "2025-01-01T00:00:00").alias("known"))
+
+
+def raw_articles(spark, sf) -> DataFrame:
+    """Documents as the raw article table: labels, URLs with trackers, and texts with tags."""
+    k, line = F.col("doc_id"), lambda n: F.get(F.split("text", "\n"), F.lit(n))
+    label = F.when(k % 3 == 0, "Bitcoin, Ethereum").when(k % 3 == 1, "['BTC']").otherwise("Bitcoin Cash")
+    url = F.when(k % 4 != 0, F.concat(F.lit("HTTPS://X.org/"), (k % 50).cast("string"), F.lit("/?utm_source="), k.cast("string")))
+    return docs(spark, sf).select(k.alias("source_row_id"), url.alias("URL"), F.concat(F.lit("<b>T "), (k % 40).cast("string"), F.lit("</b>")).alias("Title"), F.when(k % 8 != 0, F.concat(F.lit("D &amp; "), (k % 40).cast("string"))).alias("Description"), F.repeat(F.lit("x"), (k % 5).cast("int")).alias("Full Text"), label.alias("Coin Type"), "lang")
+
+
+@query("""WITH r AS (SELECT doc_id AS source_row_id, CASE WHEN doc_id % 4 <> 0 THEN 'https://x.org/' || doc_id % 50 END AS u, 'T ' || doc_id % 40 AS t, CASE WHEN doc_id % 8 <> 0 THEN 'D & ' || doc_id % 40 ELSE '' END AS d, repeat('x', (doc_id % 5)::INT) AS f, lang FROM documents WHERE doc_id % 3 <> 2 AND lang = 'en'),
+    k AS (SELECT *, CASE WHEN u IS NOT NULL THEN u WHEN d <> '' THEN lower(t) || '|' || lower(d) ELSE 'i' || source_row_id END AS k FROM r)
+    SELECT source_row_id, t || CASE WHEN d <> '' THEN ' ' || d ELSE '' END AS text_title_description, f AS full_text_clean FROM k QUALIFY row_number() OVER (PARTITION BY k ORDER BY 1 + (d <> '')::INT + (f <> '')::INT DESC, len(t) + len(d) + len(f) DESC, source_row_id) = 1""")
+def preprocess_articles(spark, sf):
+    out, _ = G.preprocessed(raw_articles(spark, sf), labels=["bitcoin", "btc"], language=F.col("lang"))
+    return out.select("source_row_id", "text_title_description", "full_text_clean")
+
+
+def _stage_config() -> dict:
+    own = {"input": {"representations": ["full_text", "nowhere"]}, "features": {"representation_prefixes": {"full_text": "body", "nowhere": "x"}}}
+    config = C.merged(C.DEFAULTS, own)
+    config["features"]["keyword_groups"] = LEXICON
+    return config
+
+
+@query(f"WITH {ARTICLES} SELECT {', '.join(['source_row_id', *_features_sql('full_text', 'body')])} FROM articles")
+def stage1_pipeline(spark, sf):
+    out = G.row_feature_stage(spark, articles(spark, sf), Y.shared_path(spark, "stage"), _stage_config()).output
+    return out.withColumn("body__uppercase_ratio", F.round(F.col("body__uppercase_ratio").cast("double"), 5))
+
+
 # ---------------------------------------------------------------- vectors
 
 
@@ -935,6 +1015,20 @@ def feature_validation(spark, sf):
     return V.report(spark, V.feature_output(made, a, id_column="source_row_id"))
 
 
+_LOST = "(SELECT count(*) FROM documents WHERE doc_id % 10 = 3)"
+_NAN = "(SELECT count(*) FROM documents WHERE doc_id % 10 <> 3 AND doc_id % 4 = 0)"
+_FAILING = [("id_column_present", "'True'", "'True'", "info"), ("row_count_match", f"(SELECT count(*) FROM documents) - {_LOST}", "(SELECT count(*) FROM documents)", "critical"), ("id_keys_match", _LOST, "0", "critical"), ("duplicate_ids", "0", "0", "info"),
+            ("has_features", "3", "'>= 1'", "info"), ("all_numeric", "1", "0", "critical"), ("nan_count", _NAN, "0", "critical"), ("all_finite", "(SELECT count(*) FROM documents WHERE doc_id % 10 <> 3 AND doc_id % 6 = 1)", "0", "critical")]
+
+
+@query(" UNION ALL ".join(f"SELECT '{n}' AS check_name, '{'pass' if s == 'info' else 'fail'}' AS status, '{s}' AS severity, {s == 'critical'} AS blocks_pipeline, ({o})::VARCHAR AS observed, ({e})::VARCHAR AS expected" for n, o, e, s in _FAILING))
+def feature_validation_failing(spark, sf):
+    d, k = docs(spark, sf), F.col("doc_id")
+    nan, wild = F.lit(float("nan")), F.lit(float("-inf"))
+    made = d.where("doc_id % 10 <> 3").select("doc_id", F.when(k % 4 == 0, nan).otherwise(1.0).alias("x"), F.when(k % 6 == 1, wild).otherwise(2.0).alias("y"), "lang")
+    return V.report(spark, V.feature_output(made, d, id_column="doc_id"))
+
+
 @query("SELECT DISTINCT user_id, event_type FROM events")
 def stream_incremental_dedup(spark, sf):
     return stream_distinct(spark, f"{sf}/events.parquet", ["user_id", "event_type"])

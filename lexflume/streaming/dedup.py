@@ -38,21 +38,32 @@ def _is_file(spark: SparkSession, path: str) -> bool:
 
 
 def merge_batches(new: DataFrame, target: str):
-    """A foreachBatch sink that merges each micro-batch into the Parquet table target, through a new version of it."""
+    """A foreachBatch sink that merges each micro-batch into the Parquet table target, through a new version of it.
+
+    A version counts once its write has committed. A batch that runs again starts from
+    the version before its own, so it gives the same table; errors rise.
+    """
 
     def sink(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        try:
-            latest = spark.read.text(f"{target}/_latest").first()[0]
-            old = spark.read.parquet(f"{target}/{latest}")
-        except Exception:  # noqa: BLE001  the first batch
-            old = batch.limit(0)
-        version = f"v{epoch}"
-        merge_incremental(old, batch).write.mode("overwrite").parquet(f"{target}/{version}")
-        spark.createDataFrame([(version,)], "value string").coalesce(1).write.mode("overwrite").text(f"{target}/_latest")
+        before = [v for v in versions(spark, target) if v < epoch]
+        old = spark.read.parquet(f"{target}/v{max(before)}") if before else batch.limit(0)
+        merge_incremental(old, batch).write.mode("overwrite").parquet(f"{target}/v{epoch}")
 
     return new.writeStream.foreachBatch(sink)
 
 
+def versions(spark: SparkSession, target: str) -> list[int]:
+    """The versions of a merged table whose write has committed."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(f"{target}/v*/_SUCCESS")
+    found = p.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p)
+    return sorted(int(x.getPath().getParent().getName()[1:]) for x in found or [])
+
+
+def merged_table(spark: SparkSession, target: str) -> DataFrame:
+    """What merge_batches has made so far."""
+    return spark.read.parquet(f"{target}/v{versions(spark, target)[-1]}")
+
+
 def windowed_counts(stream: DataFrame, at: str, key: str, *, size: str = "1 hour", delay: str = "10 minutes") -> DataFrame:
     return stream.withWatermark(at, delay).groupBy(F.window(at, size), key).agg(F.count(F.lit(1)).alias("n"))
