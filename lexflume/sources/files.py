@@ -16,10 +16,11 @@ from pyspark.sql import types as T
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """CSV with a header, quoted line ends and doubled quotes; a file is one task because of the line ends."""
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "").csv(path)
+    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "").options(**_WHOLE).csv(path)
 
 
-_WRITTEN = {"escape": '"', "quoteAll": "true", "nullValue": "\u0000", "emptyValue": ""}
+_WHOLE = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+_WRITTEN = {"escape": '"', "quoteAll": "true", "nullValue": "\u0000", "emptyValue": "", **_WHOLE}
 
 
 def write_csv(df: DataFrame, path: str, *, bom: bool = False) -> None:

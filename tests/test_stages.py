@@ -95,13 +95,15 @@ def test_listing_stops_at_an_empty_page_or_an_error():
 
 
 def test_files(spark, tmp_path):
-    df = spark.createDataFrame([(1, 'a "q", b\nc', None), (2, "", "é")], "`id, x` int, t string, u string")
+    df = spark.createDataFrame([(1, 'a "q", b\nc', None), (2, "", "é"), (3, " \t x  ", "\n")], "`id, x` int, t string, u string")
+    Y.write_csv(df, str(tmp_path / "p.csv"))
+    assert sorted(map(repr, Y.read_csv(spark, str(tmp_path / "p.csv"), df.schema).collect())) == sorted(map(repr, df.collect()))
     path = str(tmp_path / "t.csv")
     Y.write_csv(df.coalesce(1), path, bom=True)
     assert Y.header(spark, path) == ["id, x", "t", "u"] and Y.exists(spark, path)
-    assert sorted(map(tuple, Y.read_csv(spark, path, df.schema).collect())) == sorted(map(tuple, df.collect()))
-    assert Y.read_existing(spark, path, df.schema).count() == 2 and Y.read_existing(spark, path + "x", df.schema) is None
-    Y.write_jsonl(df.select("u", "t"), str(tmp_path / "j"))
+    assert sorted(map(repr, Y.read_csv(spark, path, df.schema).collect())) == sorted(map(repr, df.collect()))
+    assert Y.read_existing(spark, path, df.schema).count() == 3 and Y.read_existing(spark, path + "x", df.schema) is None
+    Y.write_jsonl(df.select("u", "t").where("t not like '%x%'"), str(tmp_path / "j"))
     assert {r[0] for r in spark.read.text(str(tmp_path / "j")).collect()} == {'{"t":"a \\"q\\", b\\nc","u":null}', '{"t":"","u":"é"}'}
     (tmp_path / "f.bin").write_bytes(b"x" * 2048)
     m = Y.file_metadata(spark, str(tmp_path / "f.bin")).first()
