@@ -9,8 +9,8 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import asdict, dataclass, fields
-from math import log, sqrt
 
+import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import SparseVector, VectorUDT
@@ -88,27 +88,95 @@ def terms(df: DataFrame, key: str, text: str, recipe: Recipe) -> DataFrame:
     return _mapped(df, key, text, run, f"`{key}` {df.schema[key].dataType.simpleString()}, term string, tf long")
 
 
-#: Terms that a task counts before it passes on what it has.
-FLUSH_TERMS = 500_000
+#: Terms of rows that a task gathers before it passes on what it has, and words whose terms it remembers.
+FLUSH_TERMS, MEMO_WORDS = 2_000_000, 300_000
+
+
+class Coded:
+    """The terms of texts as numbers, so that they are counted by arrays.
+
+    With known terms (term: number) others are left out; without, a term's number is
+    made up, and named() gives the terms of numbers. Terms of three words and more are
+    made one by one.
+    """
+
+    def __init__(self, recipe: Recipe, known: dict[str, int] | None = None):
+        self.recipe, self.known, self.memo, self.numbers = recipe, known, {}, {}
+        self.long: dict[str, int] = {}
+        if known is not None and recipe.analyzer == "word":
+            pairs = [(t.split(" "), n) for t, n in known.items() if t.count(" ") == 1]
+            for (a, b), _ in pairs:
+                self.numbers.setdefault(a, len(self.numbers))
+                self.numbers.setdefault(b, len(self.numbers))
+            codes = np.array([(self.numbers[a] + 1 << 32) | self.numbers[b] for (a, b), _ in pairs], np.int64)
+            by = np.argsort(codes)
+            self.pairs, self.columns = codes[by], np.array([n for _, n in pairs], np.int64)[by]
+
+    def _of_word(self, word: str) -> np.ndarray:
+        own = grams(word, self.recipe)
+        ids = [self.numbers.setdefault(g, len(self.numbers)) for g in own] if self.known is None else [self.known[g] for g in own if g in self.known]
+        return np.array(ids, np.int64)
+
+    def _pairs(self, words: list[str]) -> np.ndarray:
+        numbers = self.numbers
+        if self.known is None:
+            ids = np.array([numbers.setdefault(w, len(numbers)) for w in words], np.int64)
+            return (ids[:-1] + 1 << 32) | ids[1:]
+        ids = np.array([numbers.get(w, -1) for w in words], np.int64)
+        codes = ((ids[:-1] + 1 << 32) | ids[1:])[(ids[:-1] >= 0) & (ids[1:] >= 0)]
+        at = np.minimum(np.searchsorted(self.pairs, codes), max(len(self.pairs) - 1, 0))
+        return self.columns[at[self.pairs[at] == codes]] if len(self.pairs) else codes[:0]
+
+    def codes(self, text: str | None) -> np.ndarray:
+        """The numbers of a text's terms, as often as they come."""
+        if self.recipe.analyzer == "char_wb":
+            parts, memo = [], self.memo
+            for w in folded(text).split():
+                if (ids := memo.get(w)) is None:
+                    if len(memo) >= MEMO_WORDS:
+                        memo.clear()
+                    ids = memo[w] = self._of_word(w)
+                parts.append(ids)
+            return np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        words = [w for w in _WORD.findall(folded(text)) if len(w) > 1]
+        parts = []
+        for n in range(self.recipe.low, self.recipe.high + 1):
+            if n == 1 and self.known is not None:
+                parts.append(np.array([self.known[w] for w in words if w in self.known], np.int64))
+            elif n == 1:
+                parts.append(np.array([self.numbers.setdefault(w, len(self.numbers)) for w in words], np.int64))
+            elif n == 2:
+                parts.append(self._pairs(words))
+            else:
+                own = map(" ".join, zip(*(words[k:] for k in range(n)), strict=False))
+                parts.append(np.array([-1 - self.long.setdefault(g, len(self.long)) for g in own] if self.known is None else [self.known[g] for g in own if g in self.known], np.int64))
+        return np.concatenate(parts)
+
+    def named(self, codes: np.ndarray) -> list[str]:
+        names, long = list(self.numbers), list(self.long)
+        return [long[-1 - c] if c < 0 else names[c] if c < 1 << 32 else f"{names[(c >> 32) - 1]} {names[c & 0xFFFFFFFF]}" for c in codes.tolist()]
 
 
 def document_frequencies(df: DataFrame, key: str, text: str, recipe: Recipe) -> DataFrame:
     """(term, df, total): rows and places of each term, added up in each task before the shuffle."""
 
-    def flushed(rows: Counter, places: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(places), pa.string()), pa.array([rows[t] for t in places], pa.int64()), pa.array(list(places.values()), pa.int64())], names=["term", "df", "total"])
+    def flushed(coded: Coded, held: list[np.ndarray], times: list[np.ndarray]) -> pa.RecordBatch:
+        codes, place = np.unique(np.concatenate(held or [np.zeros(0, np.int64)]), return_inverse=True)
+        places = np.bincount(place, np.concatenate(times or [np.zeros(0)]), len(codes)).astype(np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(coded.named(codes), pa.string()), pa.array(np.bincount(place, minlength=len(codes)).astype(np.int64)), pa.array(places)], names=["term", "df", "total"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, places = Counter(), Counter()
+        coded, held, times, size = Coded(recipe), [], [], 0
         for batch in batches:
             for t in batch.column("text").to_pylist():
-                found = grams(t, recipe)
-                places.update(found)
-                rows.update(set(found))
-                if len(places) > FLUSH_TERMS:
-                    yield flushed(rows, places)
-                    rows, places = Counter(), Counter()
-        yield flushed(rows, places)
+                codes, many = np.unique(coded.codes(t), return_counts=True)
+                held.append(codes)
+                times.append(many)
+                size += len(codes)
+                if size > FLUSH_TERMS:
+                    yield flushed(coded, held, times)
+                    coded, held, times, size = Coded(recipe), [], [], 0
+        yield flushed(coded, held, times)
 
     parts = _mapped(df, key, text, run, "term string, df long, total long")
     return parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("total").alias("total"))
@@ -128,22 +196,22 @@ def transform(df: DataFrame, model: DataFrame, key: str, text: str, recipe: Reci
 
     The model (max_features rows) goes to every worker; each row is weighed where it is.
     """
-    listed = {r["term"]: (r["column"], r["idf"]) for r in model.collect()}  # max_features rows
-    shared = df.sparkSession.sparkContext.broadcast(listed)
+    listed = model.orderBy("column").collect()  # max_features rows
+    shared = df.sparkSession.sparkContext.broadcast([(r["term"], r["column"], r["idf"]) for r in listed])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
+        names, columns, idf = (list(x) for x in zip(*shared.value, strict=True)) if shared.value else ([], [], [])
+        coded, names, columns, idf = Coded(recipe, {t: n for n, t in enumerate(names)}), pa.array(names, pa.string()), np.array(columns, np.int32), np.array(idf, np.float64)
         for batch in batches:
-            row, term, column, weight = [], [], [], []
-            for k, t in enumerate(batch.column("text").to_pylist()):
-                found = Counter(filter(known.__contains__, grams(t, recipe)))
-                raw = [(1.0 + log(tf)) * known[x][1] for x, tf in found.items()]
-                norm = sqrt(sum(w * w for w in raw))
-                row += [k] * len(raw)
-                term += found
-                column += [known[x][0] for x in found]
-                weight += [w / norm for w in raw]
-            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(row, pa.int64())), pa.array(term, pa.string()), pa.array(column, pa.int32()), pa.array(weight, pa.float64())], names=[key, "term", "column", "weight"])
+            row, found, weight = [], [np.zeros(0, np.int64)], [np.zeros(0)]
+            for t in batch.column("text").to_pylist():
+                codes, many = np.unique(coded.codes(t), return_counts=True)
+                raw = (1.0 + np.log(many)) * idf[codes]
+                row.append(len(codes))
+                found.append(codes)
+                weight.append(raw / np.sqrt((raw * raw).sum()) if len(raw) else raw)
+            at = np.concatenate(found)
+            yield pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(np.repeat(np.arange(len(row)), row))), names.take(pa.array(at)), pa.array(columns[at]), pa.array(np.concatenate(weight))], names=[key, "term", "column", "weight"])
 
     return _mapped(df, key, text, run, f"`{key}` {df.schema[key].dataType.simpleString()}, term string, column int, weight double")
 

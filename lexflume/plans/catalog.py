@@ -48,7 +48,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return Y.read_table(spark, f"{sf_dir}/{name}.parquet")
 
 
 def docs(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,6 +38,13 @@ def write_csv(df: DataFrame, path: str, *, bom: bool = False) -> None:
     lines.mapInArrow(topped, "value string").write.mode("overwrite").text(path)
 
 
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet table. One in a single file is dealt out to all cores: its few row groups would be the work of as few tasks, whatever comes after."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if cores > 1 and len(df._jdf.inputFiles()) == 1 else df
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """One record a line; blank lines are skipped."""
     return spark.read.schema(schema).json(path)
