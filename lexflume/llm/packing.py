@@ -6,6 +6,7 @@ import os
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from struct import pack as pack_numbers
 
 import numpy as np
 import pyarrow as pa
@@ -92,6 +93,7 @@ class WordIds:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.merged = self.tokenizer.model.tokenize
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         (self.mark,) = self.ids(self.MARK).tolist()
@@ -104,7 +106,11 @@ class WordIds:
         found: dict[bytes, bytes] = {}
         plain = []
         for w in words:
-            if self.MARK in w:
+            if w.isalpha() and w.islower():
+                # Small ASCII letters only: no rule but the merges applies.
+                ids = [x.id for x in self.merged(w.decode())]
+                found[w] = pack_numbers(f"<{len(ids)}I", *ids)
+            elif self.MARK in w:
                 found[w] = self.ids(w).tobytes()
             else:
                 plain.append(w)
@@ -131,21 +137,14 @@ class WordIds:
                     at += 1
             except ValueError:
                 pass
-        found: dict[bytes, bytes] = {}
-        split: dict[bytes, tuple[bytes, ...]] = {}
-        for w in dict.fromkeys(w for _, _, w in holes):
-            if (ids := self.old.get(w)) is not None:
-                found[w] = ids
-            else:
-                base = w.rstrip(self.TAIL)
-                split[w] = (base, w[len(base) :]) if len(base) < len(w) and base[-1:].isalnum() else (w,)
-        parts = {}
-        for x in {x for both in split.values() for x in both}:
-            parts[x] = self.old.get(x) if (ids := memo.get(x)) is None else ids
-        parts |= self.learn([x for x, ids in parts.items() if ids is None])
-        found |= parts
-        for w, both in split.items():
-            found[w] = b"".join([parts[x] for x in both])
+        found: dict[bytes, bytes | None] = {w: self.old.get(w) for _, _, w in holes}
+        new = [w for w, ids in found.items() if ids is None]
+        bases = [w.rstrip(self.TAIL) for w in new]
+        split = {w: (x, w[len(x) :]) for w, x in zip(new, bases, strict=True) if len(x) < len(w) and x[-1:].isalnum()}
+        parts = {x: memo.get(x) or self.old.get(x) for both in split.values() for x in both}
+        found |= self.learn([*dict.fromkeys([*(x for x, ids in parts.items() if ids is None), *(w for w in new if w not in split)])])
+        for w, (x, tail) in split.items():
+            found[w] = (parts[x] or found[x]) + (parts[tail] or found[tail])
         for values, at, w in holes:
             values[at] = found[w]
         memo.update((w, ids) for w, ids in found.items() if len(w) <= 64)
