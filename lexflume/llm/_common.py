@@ -11,12 +11,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexflume.sources.files import read_table
+
 #: ASCII white space, the only separators that the word contracts know.
 WS = r"[\x20\x09-\x0D]"
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    return read_table(spark, f"{sf_dir}/documents.parquet")
 
 
 def text_or_empty(name: str = "text") -> Column:
