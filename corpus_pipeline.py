@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lexflume.llm._common import columns_of, frozen, shielded
+from lexflume.llm._common import columns_of, documents, frozen, shielded
 from lexflume.llm.exact_dedup import drop_exact_copies
 from lexflume.llm.jaccard_join import drop_similar
 from lexflume.llm.mixing import mix
@@ -89,7 +89,7 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = frozen(stage(spark, docs, sf_dir))
     return STAGES[-1][1](spark, docs, sf_dir)
