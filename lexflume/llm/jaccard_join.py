@@ -205,15 +205,15 @@ def _bucket_parts(docs: DataFrame, shared, buckets: int) -> DataFrame:
     return docs.select("_text").mapInArrow(run, "p long, entries binary")
 
 
-def pairs_of(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """From a bucket's entries: rows (smaller gh, larger gh, shingles met in), and the entries of crowded shingles."""
+def pairs_of(e: np.ndarray, few: int, neighbours: int, hubs: int) -> tuple[np.ndarray, np.ndarray]:
+    """From a bucket's entries: rows (smaller gh, larger gh, shingles met in), and the entries of crowded shingles, those in more than few groups."""
     e = np.unique(e)  # a document's copies give equal entries
     e = e[np.lexsort((e["gh"], e["n"], e["token"]))]
     new = np.concatenate([[True], e["token"][1:] != e["token"][:-1]])
     run = np.cumsum(new) - 1
     size = np.bincount(run)
     e, run = e[size[run] > 1], run[size[run] > 1]
-    crowded = size[run] > FEW
+    crowded = size[run] > few
     found = []
 
     def meet(i: np.ndarray, j: np.ndarray) -> None:
@@ -224,15 +224,15 @@ def pairs_of(e: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         x, y = a["gh"][ok], b["gh"][ok]
         found.append(np.stack([np.minimum(x, y), np.maximum(x, y)], 1))
 
-    for k in range(1, FEW):
+    for k in range(1, max(few, neighbours + 1)):
         i = np.flatnonzero(run[k:] == run[:-k]) if len(run) > k else np.zeros(0, np.int64)
         if not len(i):
             break
-        i = i[~crowded[i] | (k <= NEIGHBOURS)]
+        i = i[~crowded[i] | (k <= neighbours)]
         meet(i, i + k)
     hot = np.flatnonzero(crowded)
     for part in np.split(hot, np.flatnonzero(np.diff(run[hot])) + 1) if len(hot) else []:
-        for hub in part[np.argsort(e["gh"][part])[:HUBS]]:
+        for hub in part[np.argsort(e["gh"][part])[:hubs]]:
             meet(np.full(len(part), hub), part)
     pairs = np.concatenate(found) if found else np.zeros((0, 2), np.uint64)
     if len(pairs):
@@ -247,7 +247,7 @@ def meetings(docs: DataFrame, shared, buckets: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         e = np.concatenate([np.frombuffer(x.as_py(), _ENTRY) for x in table.column("entries")])
-        pairs, hot = pairs_of(e)
+        pairs, hot = pairs_of(e, FEW, NEIGHBOURS, HUBS)
         return pa.table({
             "hot": pa.array(np.repeat([False, True], [len(pairs), len(hot)])),
             "x": _signed(np.concatenate([pairs[:, 0], hot["token"]])),

@@ -47,8 +47,10 @@ def near_texts(seed=3, n=160):
     return out
 
 
-def test_components_of_near_copies(spark, table, odd_texts, monkeypatch):
-    monkeypatch.setattr(J, "FEW", 4)  # so that shingles are crowded here
+@pytest.mark.parametrize("switches", [{"FEW": 4}, {"FEW": 2, "NEIGHBOURS": 1, "HUBS": 1, "ROUNDS": (1,), "CELL_BITS": (12, 12), "BUCKET_ROWS": 50}])
+def test_components_of_near_copies(spark, table, odd_texts, monkeypatch, switches):
+    for name, value in switches.items():  # so that shingles are crowded here; then hardly anything meets or merges early
+        monkeypatch.setattr(J, name, value)
     texts = [*near_texts(), *odd_texts]
     sizes, roots = brute_components(texts)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in J.similar_documents(table(texts)).collect()}
@@ -57,6 +59,14 @@ def test_components_of_near_copies(spark, table, odd_texts, monkeypatch):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(set(roots)) and set(left.columns) == set(table([]).columns)
 
 
+def test_limits_reach_the_tasks(spark, table, monkeypatch):
+    docs = table(near_texts()).select(F.col("doc_id").alias("_key"), F.col("text").alias("_text"))
+    shared = spark.sparkContext.broadcast(J.shingle_cells(docs))
+    plain = J.meetings(docs, shared, 16).where("hot").count()
+    monkeypatch.setattr(J, "FEW", 2)
+    assert J.meetings(docs, shared, 16).where("hot").count() > plain
+
+
 def test_components_without_keys_or_rows(spark, table):
     df = spark.createDataFrame([(None, "a b c d e f"), (3, "a b c d e f"), (3, "a b c d e f"), (5, "A B c d e f")], "doc_id long, text string")
     assert sorted((r["doc_id"] or 0, r["component_id"] or 0) for r in J.similar_documents(df).collect()) == [(0, 0), (3, 3), (3, 3), (5, 3)]
@@ -77,6 +87,15 @@ def test_texts_under_one_id_all_link(spark):
     assert {r["component_id"] for r in J.similar_documents(df).collect()} == {1}
 
 
+def test_sketch_grows_with_the_corpus():
+    assert [J.cell_bits(n) for n in (0, 1, 1 << 26, 1 << 28, 1 << 40)] == [20, 20, 20, 22, 24]
+    x = np.array([0, 1 << 63, (1 << 64) - 1], np.uint64)
+    for bits in (20, 24):
+        cells = np.zeros(1 << bits, np.uint8)
+        cells[[1 << (bits - 1), -1]] = 1, 2
+        assert J.cell_of(x, cells).tolist() == [0, 1, 2]
+
+
 def test_bitmap_never_drops_a_link():
     rng = np.random.default_rng(1)
     for _ in range(200):

@@ -201,6 +201,14 @@ def test_mixing_draws_poisson_counts(spark, table):
     assert sorted(map(tuple, again)) == sorted((r["doc_id"], r["copy"]) for r in rows)
 
 
+def test_mixing_without_a_broadcast_is_the_same(spark, table, monkeypatch):
+    d = table([str(i) for i in range(300)], ["hot" if i % 3 else f"s{i}" for i in range(300)])
+    rows = lambda: sorted(map(tuple, M.mix(d).select("doc_id", "copy", "shuffle_key").collect()))
+    broadcast = rows()
+    monkeypatch.setattr(M, "BROADCAST_TERMS", 0)
+    assert broadcast and rows() == broadcast
+
+
 def test_mixing_of_nulls_extremes_and_nothing(spark, table):
     d = table([None, "", "a"], [None, "x", "x"])
     assert M.mix(d).columns == [*[c for c in d.columns if c != "copy"], "copy", "shuffle_key"]
