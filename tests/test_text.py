@@ -101,3 +101,14 @@ def test_listing_keeps_articles_only():
 def test_nfkc_is_pythons(spark):
     t = "ﬁ ① ｶﾞ"
     assert X.clean_one(t) == unicodedata.normalize("NFKC", t)
+
+
+def test_article_paths(spark):
+    urls = ["https://x.org/newsroom/press-releases/2031-7", "https://x.org/News/Press-Release/1999-120-b", "https://x.org/speech/2031-7", "https://x.org/?u=/newsroom/press-releases/2031-7", "https://x.org/newsroom/press-releases/31-7", "", None]
+    assert values(spark, urls, U.is_article(F.col("t"))) == [True, True, False, False, False, False, False]
+
+
+def test_slugs():
+    assert [X.slug(n) for n in ("Rate Cut", "  SEC / CFTC!", "Straße_2")] == ["rate_cut", "sec_cftc", "strasse_2"]
+    with pytest.raises(ValueError):
+        X.slug("--")
