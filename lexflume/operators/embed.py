@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from lexflume.operators.audit import percent
+from lexflume.sources.files import write_record
 
 #: Order of the sentiment labels.
 LABELS = ("positive", "neutral", "negative")
@@ -132,6 +133,16 @@ def encoder_benchmark(df: DataFrame, key: str, representations: Sequence[str], s
     return df.sparkSession.createDataFrame(rows, "representation string, method string, rows long, dimensions long, elapsed_seconds double, memory_mb double, truncated long, median_tokens double, finite_values boolean")
 
 
+def save_embeddings(encoded: DataFrame, spec: EncoderSpec, path: str, *, pinned: bool = True) -> dict:
+    """Writes vectors and, beside them, the record of their model and of what was written, which it returns."""
+    record = bundle_record(spec, pinned)  # an unpinned model is refused before any work
+    encoded.write.mode("overwrite").parquet(f"{path}/vectors")
+    found = encoded.sparkSession.read.parquet(f"{path}/vectors")
+    record |= embedding_report(found, "embedding").first().asDict() | token_report(found).first().asDict()
+    write_record(encoded.sparkSession, record, f"{path}/record")
+    return record
+
+
 def token_report(encoded: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     return encoded.agg(n.alias("rows"), F.count_if("truncated").alias("truncated"), percent(F.count_if("truncated"), n).alias("truncated_pct"), F.median("token_count").alias("median_tokens"), F.max("token_count").alias("max_tokens"))

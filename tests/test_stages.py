@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lexflume.functions import text as X
 from lexflume.operators import embed as E
 from lexflume.operators import preprocess as P
+from lexflume.operators import reduce as R
 from lexflume.operators import tfidf as M
 from lexflume.plans import catalog as K
 from lexflume.plans import config as C
@@ -234,3 +235,43 @@ def test_ties_of_position_don_t_hide_falls(spark):
 
     df = spark.createDataFrame([(1, 0, 5), (1, 1, 3), (2, 2, 4)], "p int, t int, v int")
     assert A.id_monotonic(df, "p", "v", tie="t").first()["decreases"] == 1 and A.id_monotonic(df, "p", "v").first()["decreases"] == 1
+
+
+def test_reduction_is_saved_with_its_steps(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, rng.normal(size=6).tolist()) for i in range(40)], "k int, v array<double>")
+    model, centre, k = R.pca(df, "k", "v", 3)
+    made = R.pca_transform(df, model, centre, "k", "v")
+    R.save_pca(made, model, centre, str(tmp_path / "r"))
+    R.save_pca(made, model, centre, str(tmp_path / "r"))
+    again = R.pca_transform(df, *R.load_pca(str(tmp_path / "r")), "k", "v").orderBy("k").collect()
+    kept = spark.read.parquet(str(tmp_path / "r" / "rows")).orderBy("k").collect()
+    assert k == 3 and len(kept) == 40 and again == kept == made.orderBy("k").collect()
+
+
+def test_embeddings_are_saved_with_their_record(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a b c"), (2, None), (3, "d " * 9)], "k int, t string")
+    spec = E.EncoderSpec(max_length=4)
+    with pytest.raises(ValueError):
+        E.save_embeddings(E.encode(df, "k", "t", spec), spec, str(tmp_path / "e"))
+    assert not (tmp_path / "e").exists()
+    made = E.save_embeddings(E.encode(df, "k", "t", spec), spec, str(tmp_path / "e"), pinned=False)
+    assert made["rows"] == 3 and made["truncated"] == 1 and made["max_tokens"] == 9 and made["pooling"] == "masked_mean"
+    assert record(spark, str(tmp_path / "e" / "record")) == made and spark.read.parquet(str(tmp_path / "e" / "vectors")).count() == 3
+
+
+def test_downloads_appear_whole(tmp_path, monkeypatch):
+    (tmp_path / "source").write_bytes(b"abc" * 1000)
+    url, target = f"file://{tmp_path}/source", tmp_path / "d" / "t"
+    assert W.download(url, str(target), piece=7) and target.read_bytes() == b"abc" * 1000
+    (tmp_path / "source").write_bytes(b"other")
+    assert not W.download(url, str(target)) and target.stat().st_size == 3000
+
+    def broken(source, out, piece):
+        out.write(b"half")
+        raise OSError("gone")
+
+    monkeypatch.setattr(W.shutil, "copyfileobj", broken)
+    with pytest.raises(OSError):
+        W.download(url, str(tmp_path / "d" / "u"))
+    assert [p.name for p in (tmp_path / "d").iterdir()] == ["t"]
