@@ -46,6 +46,8 @@ REACH = (LENGTH - ANCHOR + 1) // 2
 BUCKET_ROWS, FLUSH_ROWS, CROWDED = 300_000, 500_000, 48
 #: How many times more it takes in a task, which can't know yet which of them may share windows.
 ASIDE = 16
+#: Bytes of text whose stretches are found at once, which takes about eighty times as much memory; entries that are packed for one batch.
+SCAN_BYTES, PACKED_ROWS = 1 << 18, 50_000
 #: Bytes of short texts whose suffixes are sorted in step.
 SORTED_BYTES = 1 << 20
 LAST = np.iinfo(np.int64).max
@@ -203,12 +205,17 @@ def _asked(e: np.ndarray, crowded) -> pa.RecordBatch:
     return _batch(len(e), kind, key=e["doc"], tag=e["tag"], lo=lo, hi=lo + e["more"], rep=e["rep"].astype(np.int32), step=e["step"].astype(np.int32), h=e["h"].view(np.int64))
 
 
-def _entry_rows(e: np.ndarray, p: np.ndarray) -> pa.RecordBatch:
+def _entry_rows(e: np.ndarray, p: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each bucket; what is packed leaves before more is."""
     by = np.argsort(p, kind="stable")
-    e, p = e[by], p[by]
-    keys, at = np.unique(p, return_index=True)
-    blobs = [packed(x) for x in np.split(e, at[1:])] if len(keys) else []
-    return _batch(len(keys), ENTRIES, p=keys.astype(np.int64), entries=blobs)
+    keys, at = np.unique(p[by], return_index=True)
+    blobs, size = [], 0
+    for k, rows in enumerate(np.split(by, at[1:]) if len(keys) else [], 1):
+        blobs.append(packed(e[rows]))
+        size += len(rows)
+        if size > PACKED_ROWS or k == len(keys):
+            yield _batch(len(blobs), ENTRIES, p=keys[k - len(blobs) : k].astype(np.int64), entries=blobs)
+            blobs, size = [], 0
 
 
 def classes(e: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -228,20 +235,20 @@ def _runs(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def combined(e: np.ndarray, buckets: int, most: int | None = None) -> Iterator[pa.RecordBatch]:
     """What a task passes on: what it knows to be covered, its entries by bucket, and of anchors with far over `most` entries the stretches, with a mark for the bucket."""
-    by = np.lexsort((e["s"], e["h"]))
-    e = e[by]
-    covered, left = classes(e, np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1])))
+    e = e[np.lexsort((e["s"], e["h"]))]
+    covered, e = classes(e, np.append(True, (e["h"][1:] != e["h"][:-1]) | (e["s"][1:] != e["s"][:-1])))
     if len(covered):
         yield _covered(covered)
+    del covered
     if most is not None:
-        run, size = _runs(left["h"])
+        run, size = _runs(e["h"])
         crowded = (size > ASIDE * most)[run]
         if crowded.any():
-            yield _asked(left[crowded], True)
-            marks = left[crowded & np.append(True, run[1:] != run[:-1])].copy()
+            yield _asked(e[crowded], True)
+            marks = e[crowded & np.append(True, run[1:] != run[:-1])].copy()
             marks["more"], marks["doc"], marks["tag"] = MARK, LAST, 0
-            left = np.concatenate([left[~crowded], marks])
-    yield _entry_rows(left, (left["h"] % np.uint64(buckets)).astype(np.int64))
+            e = np.concatenate([e[~crowded], marks])
+    yield from _entry_rows(e, (e["h"] % np.uint64(buckets)).astype(np.int64))
 
 
 def settled(e: np.ndarray, most: int | None = None) -> Iterator[pa.RecordBatch]:
@@ -298,7 +305,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[bytes]:
 
 
 #: Bytes of a text taken at once; longer ones come in parts that share LENGTH - 1 bytes, so each window is in one part.
-PART = 1 << 22
+PART = SCAN_BYTES
 
 
 def _parts(row: int, text: bytes, places: list[tuple[int, int]]) -> Iterator[bytes]:
@@ -310,10 +317,16 @@ def _parts(row: int, text: bytes, places: list[tuple[int, int]]) -> Iterator[byt
 def _scan(docs: DataFrame, buckets: int, most: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
+
+        def taken() -> np.ndarray:
+            e = np.concatenate(held)
+            held.clear()
+            return e
+
         for batch in batches:
             keys, tags = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("_key", "_tag"))
             parts, at = [], 0
-            for slab in slabs(x for k, text in enumerate(_texts(batch)) for x in _parts(k, text, parts)):
+            for slab in slabs((x for k, text in enumerate(_texts(batch)) for x in _parts(k, text, parts)), SCAN_BYTES):
                 e, counts = stretches(slab)
                 row, start = np.array(parts[at : at + len(slab)], np.int64).reshape(-1, 2).T
                 e["doc"], e["tag"] = np.repeat(keys[row], counts), np.repeat(tags[row], counts)
@@ -322,10 +335,10 @@ def _scan(docs: DataFrame, buckets: int, most: int) -> DataFrame:
                 held.append(e)
                 size += len(e)
                 if size > FLUSH_ROWS:
-                    yield from combined(np.concatenate(held), buckets, most)
-                    held, size = [], 0
+                    yield from combined(taken(), buckets, most)
+                    size = 0
         if size:
-            yield from combined(np.concatenate(held), buckets, most)
+            yield from combined(taken(), buckets, most)
 
     return docs.mapInArrow(run, OUT)
 
@@ -408,7 +421,8 @@ def _windows(places: np.ndarray, parts: list[bytes]) -> np.ndarray:
 def _fetched(docs: DataFrame, wanted: DataFrame, buckets: int) -> DataFrame:
     """The rows that settle the wanted stretches: their bytes by anchor, or their windows by hash where an anchor is crowded."""
     asked = wanted.groupBy("key", "tag").agg(F.collect_list(F.struct("lo", "hi", "rep", "step", "h", (F.col("kind") == CROWD).alias("crowd"))).alias("ask"))
-    met = _touched(docs, wanted.select("key")).join(asked, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag"))).select("_key", "_tag", "_text", "ask")
+    # A broadcast join, as small tables get, would chain two Python steps in a task: a second worker for each core, which keeps its memory.
+    met = _touched(docs, wanted.select("key")).join(asked.hint("merge"), (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag"))).select("_key", "_tag", "_text", "ask")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, crowd, size = [], [], 0
@@ -524,8 +538,8 @@ def suffix_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wi
                 left = np.frombuffer(body, np.uint8)[~away].tobytes()
                 removed = int(away.sum())
                 spans = int(away[0]) + int((away[1:] & ~away[:-1]).sum())
-            rows.append((len(body), removed, spans, hashlib.sha256(left).hexdigest(), left))
-        cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))][: 5 if with_text else 4]
+            rows.append((len(body), removed, spans, hashlib.sha256(left).hexdigest(), *([left] if with_text else [])))
+        cols = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())[: 5 if with_text else 4])]
         return pa.RecordBatch.from_arrays([keys, *cols], names=["_own", *(x.split()[0] for x in extra.split(", "))])
 
     def untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -537,7 +551,7 @@ def suffix_dedup(docs: DataFrame, *, text: str = "text", key: str = "doc_id", wi
         for batch in batches:
             yield result(batch.column("_own"), _texts(batch), (x.as_py() for x in batch.column("gone")))
 
-    may = _touched(docs, covered.select("key")).join(covered, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left").select("_own", "_text", "gone")
+    may = _touched(docs, covered.select("key")).join(covered.hint("merge"), (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left").select("_own", "_text", "gone")
     every = docs.mapInArrow(untouched, schema).unionByName(may.mapInArrow(cut, schema))
     return every.select(F.col("_own").alias(key), *[x.split()[0] for x in extra.split(", ")])
 

@@ -1,8 +1,11 @@
 import hashlib
 import random
 import re
+import tracemalloc
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -313,6 +316,46 @@ def test_entries_survive_packing():
     assert (np.sort(got, order=list(U.ENTRY.names)) == np.sort(e, order=list(U.ENTRY.names))).all()
 
 
+def peak_bytes(run):
+    """Memory that Python and NumPy take at once while run's results pass by."""
+    tracemalloc.start()
+    for _ in run():
+        pass
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak
+
+
+def test_memory_of_stretches_is_bounded():
+    """Of many short texts as of a very long one."""
+    rng = np.random.default_rng(4)
+    scan = U._scan(SimpleNamespace(mapInArrow=lambda run, schema: run), 16, U.CROWDED)
+    for size, n in ((2000, 1000), (3_000_000, 1)):
+        texts = [rng.integers(32, 127, size, dtype=np.uint8).tobytes().decode() for _ in range(n)]
+        batch = pa.record_batch([np.arange(n), np.arange(n), pa.array(texts)], names=["_key", "_tag", "_text"])
+        assert peak_bytes(lambda batch=batch: scan(iter([batch]))) < 48 << 20
+
+
+def test_memory_of_packing_is_bounded():
+    e = np.zeros(400_000, U.ENTRY)
+    e["h"], e["s"] = np.random.default_rng(5).integers(0, 1 << 63, (2, len(e)))
+    assert peak_bytes(lambda: U.combined(e, 100, U.CROWDED)) < 3 * e.nbytes
+    got = [U.unpacked(x.as_py()) for b in U.combined(e, 100, U.CROWDED) for x in b.column("entries")]
+    assert len(got) == 100 and (np.sort(np.concatenate(got)["h"]) == np.sort(e["h"])).all() and all(len(np.unique(x["h"] % np.uint64(100))) == 1 for x in got)
+
+
+def test_cuts_of_small_tables_take_one_worker_a_task(spark, table):
+    """A broadcast join would chain two Python steps, and the second worker of each core would keep its memory."""
+    plan = U.suffix_dedup(table(["a" * 60, "a" * 70]))._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_cuts_across_parts(spark, table):
+    rng = random.Random(11)
+    some = ["".join(rng.choice("abcdef ") for _ in range(n)) for n in (U.PART + 90, 300, 20_000, U.PART - 60, 5000)]
+    check_cuts(table([some[2] + some[0], "-" + some[3] + some[1] + some[4], some[3][99:] + some[4] + some[0], some[0][-400:]]))
+
+
 def test_results_do_not_depend_on_partitions(spark, table):
     texts = near_texts(9, 60)
     one = {r["doc_id"]: r["component_id"] for r in J.similar_documents(table(texts).coalesce(1)).collect()}
